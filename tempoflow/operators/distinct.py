@@ -16,21 +16,26 @@ from tempoflow.functions import hashing as H
 
 # Fixed value: mean overshoot of the uncorrected estimator.
 OVERSHOOT = 1.2594
+BASE = "_base"
 
 
 def _register(index: int) -> str:
     return f"register_{index}"
 
 
+def _zeros(estimators: int) -> Column:
+    """The registers as an array of trailing zero counts."""
+    return F.transform(F.array(*[_register(i) for i in range(estimators)]), H.bit_index)
+
+
 def register_aggregates(estimators: int = S.FM_ESTIMATORS, mode: str = H.FAST) -> list[Column]:
-    """Register columns over the digest columns made by :func:`with_digests`."""
-    return [F.max(H.lowest_bit(H.word_of(i, mode))).alias(_register(i)) for i in range(estimators)]
+    """Register columns over the base column made by :func:`with_base`."""
+    words = [H.word_sql(BASE, i, mode) for i in range(estimators)]
+    return [F.expr(f"max({w} & -{w})").alias(_register(i)) for i, w in enumerate(words)]
 
 
-def with_digests(
-    df: DataFrame, item: str, group: tuple[str, ...] = (), estimators: int = S.FM_ESTIMATORS, mode: str = H.FAST
-) -> DataFrame:
-    return df.select(*group, *H.digest_columns(F.col(item), estimators, mode))
+def with_base(df: DataFrame, item: str, group: tuple[str, ...] = (), mode: str = H.FAST) -> DataFrame:
+    return df.select(*group, H.base(F.col(item), mode).alias(BASE))
 
 
 def registers(
@@ -41,7 +46,7 @@ def registers(
     mode: str = H.FAST,
 ) -> DataFrame:
     """One row of registers per group (one row in all without a group)."""
-    return with_digests(df, item, group, estimators, mode).groupBy(*group).agg(*register_aggregates(estimators, mode))
+    return with_base(df, item, group, mode).groupBy(*group).agg(*register_aggregates(estimators, mode))
 
 
 def merge(tables: list[DataFrame], group: tuple[str, ...] = (), estimators: int = S.FM_ESTIMATORS) -> DataFrame:
@@ -58,18 +63,16 @@ def estimate(
     corrected: bool = False,
 ) -> DataFrame:
     """Two to the mean register; null when nothing was counted."""
-    zeros = [H.bit_index(F.col(_register(i))) for i in range(estimators)]
-    mean = reduce(lambda a, b: a + b, zeros) / F.lit(float(estimators))
-    value = F.pow(F.lit(2.0), mean)
+    mean = F.aggregate(_zeros(estimators), F.lit(0), lambda total, z: total + z) / F.lit(float(estimators))
+    value = F.pow(F.lit(2.0), F.col("mean_zeros"))
     if corrected:
         value = value / F.lit(OVERSHOOT)
-    return register_rows.select(*group, mean.alias("mean_zeros"), value.alias("estimate"))
+    return register_rows.select(*group, mean.alias("mean_zeros")).select("*", value.alias("estimate"))
 
 
 def long_registers(register_rows: DataFrame, group: tuple[str, ...] = (), estimators: int = S.FM_ESTIMATORS) -> DataFrame:
     """Registers as rows (group, estimator, max_zeros)."""
-    zeros = F.array(*[H.bit_index(F.col(_register(i))) for i in range(estimators)])
-    return register_rows.select(*group, F.posexplode(zeros).alias("estimator", "max_zeros"))
+    return register_rows.select(*group, F.posexplode(_zeros(estimators)).alias("estimator", "max_zeros"))
 
 
 def error(df: DataFrame, item: str = "name", estimators: int = S.FM_ESTIMATORS, mode: str = H.FAST) -> DataFrame:
@@ -89,7 +92,7 @@ def explain_items(df: DataFrame, item: str = "name", estimators: int = S.FM_ESTI
     """Hash word and trailing zeros of every distinct item under every estimator."""
     items = df.select(F.col(item).alias("item")).where(F.col("item").isNotNull()).distinct()
     words = H.word_array(F.col("item"), estimators, mode)
-    return items.select("item", F.posexplode(words).alias("estimator", "hash_value")).select(
+    return items.select("item", F.posexplode_outer(words).alias("estimator", "hash_value")).select(
         "item", "estimator", "hash_value", H.trailing_zeros(F.col("hash_value")).alias("trailing_zeros")
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tempoflow import schema as S
 from tempoflow.functions import hashing as H
+from tempoflow.session import checkpointed
 
 WORD_BITS = 32
 # A filter of up to this many bits travels to the executors as one literal array; larger ones are joined.
@@ -31,7 +32,7 @@ def build(
     mode: str = H.FAST,
 ) -> DataFrame:
     """Words with at least one set bit: (word_no, word)."""
-    hits = df.where(F.col(item).isNotNull()).select(F.explode(positions(F.col(item), bits, hashes, mode)).alias("position"))
+    hits = df.where(F.col(item).isNotNull()).select(F.explode_outer(positions(F.col(item), bits, hashes, mode)).alias("position"))
     return (
         hits.groupBy(F.floor(F.col("position") / WORD_BITS).cast("bigint").alias("word_no"))
         .agg(F.bit_or(_bit("position")).alias("word"))
@@ -80,8 +81,12 @@ def _bit(position: str) -> Column:
 
 def _probe_inline(df: DataFrame, words: DataFrame, item: str, bits: int, hashes: int, mode: str) -> DataFrame:
     """The whole filter as one array value: a scan with a row-level test, no shuffle of the data."""
+    return df.where(_inline_hit(words, item, bits, hashes, mode))
+
+
+def _inline_hit(words: DataFrame, item: str, bits: int, hashes: int, mode: str) -> Column:
     size = -(-bits // WORD_BITS)
-    grid = df.sparkSession.range(size).withColumnRenamed("id", "word_no").join(words, "word_no", "left")
+    grid = words.sparkSession.range(size).withColumnRenamed("id", "word_no").join(words, "word_no", "left")
     packed = grid.agg(
         F.array_sort(F.collect_list(F.struct("word_no", F.coalesce("word", F.lit(0)).alias("word")))).alias("cells")
     ).select(F.transform("cells", lambda c: c["word"]))
@@ -91,7 +96,7 @@ def _probe_inline(df: DataFrame, words: DataFrame, item: str, bits: int, hashes:
         position = F.pmod(H.word_at(F.col(item), i, mode), F.lit(bits))
         cell = F.get(filter_words, F.floor(position / WORD_BITS).cast("int"))
         checks.append(F.getbit(cell, (position % WORD_BITS).cast("int")) == 1)
-    return df.where(reduce(lambda a, b: a & b, checks))
+    return reduce(lambda a, b: a & b, checks)
 
 
 def _probe_joined(df: DataFrame, words: DataFrame, item: str, bits: int, hashes: int, mode: str) -> DataFrame:
@@ -115,17 +120,23 @@ def quality(
 ) -> DataFrame:
     """Fill ratio, and false positives among the distinct items of ``df`` that are not members.
 
-    Member flags and probing both run on distinct items, so copies cost nothing after the first aggregation.
+    Both inputs are reduced to one row per distinct item by a single aggregation, so copies cost nothing after it.
     """
     words = build(members, item, bits, hashes, mode)
-    known = members.select(item).where(F.col(item).isNotNull()).distinct()
-    universe = df.select(item).where(F.col(item).isNotNull()).distinct()
-    strangers = universe.join(known, item, "left_anti")
-    counted = strangers.agg(F.count(F.lit(1)).alias("n")).scalar()
-    positives = probe(strangers, words, item, bits, hashes, mode).agg(F.count(F.lit(1)).alias("n")).scalar()
-    return fill(words, bits).select(
-        "bits_set",
-        "fill_ratio",
-        counted.alias("non_members"),
-        positives.alias("false_positives"),
+    flagged = df.select(item, F.lit(False).alias("_member")).unionByName(members.select(item, F.lit(True).alias("_member")))
+    items = flagged.where(F.col(item).isNotNull()).groupBy(item).agg(F.bool_or("_member").alias("_member"))
+    strangers = items.where(~F.col("_member"))
+    if bits <= INLINE_BITS:
+        hit = F.count_if(_inline_hit(words, item, bits, hashes, mode)).alias("false_positives")
+        counts = strangers.agg(F.count(F.lit(1)).alias("non_members"), hit)
+    else:
+        strangers = checkpointed(strangers)
+        positives = _probe_joined(strangers, words, item, bits, hashes, mode).agg(F.count(F.lit(1)).alias("n")).scalar()
+        counts = strangers.agg(F.count(F.lit(1)).alias("non_members")).select("*", positives.alias("false_positives"))
+    filled = fill(words, bits)
+    return counts.select(
+        filled.select("bits_set").scalar().alias("bits_set"),
+        filled.select("fill_ratio").scalar().alias("fill_ratio"),
+        "non_members",
+        "false_positives",
     )

@@ -19,7 +19,7 @@ from tempoflow import schema as S
 from tempoflow.functions import hashing as H
 from tempoflow.functions.scalars import composite_id, feature_levels, token
 from tempoflow.operators.ranking import first_n
-from tempoflow.session import broadcast_if_small, checkpointed
+from tempoflow.session import broadcast_if_small, checkpointed, spread
 
 LEVELS = ["level_0", "level_1", "level_2"]
 AXIS_PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -78,10 +78,6 @@ def triple_key() -> Column:
     return F.concat_ws("|", F.lit("all"), *[F.col(l).cast("string") for l in LEVELS])
 
 
-def token_words(axis: int, permutations: int, mode: str) -> Column:
-    return H.word_array(token(axis, F.col(LEVELS[axis])), permutations, mode)
-
-
 def signature(words: list[Column]) -> Column:
     """Minimum over the tokens under each permutation."""
     smaller = lambda a, b: F.least(a, b)  # noqa: E731 - zip_with accepts a lambda only
@@ -96,11 +92,8 @@ def _per_band(bands: int, rows: int, build) -> Column:
 
 
 def band_keys(signature_col: Column, bands: int, rows: int) -> Column:
-    """One bucket key per band."""
-    text = signature_col.cast("array<string>")
-    return _per_band(
-        bands, rows, lambda band, cut: F.concat(band.cast("string"), F.lit("|"), F.array_join(cut(text), "-"))
-    )
+    """One 64-bit bucket key per band."""
+    return H.let(signature_col, lambda minima: _per_band(bands, rows, lambda band, cut: F.xxhash64(band, cut(minima))))
 
 
 def verified_keys(words: list[Column], bands: int, rows: int, threshold: float) -> Column:
@@ -108,30 +101,37 @@ def verified_keys(words: list[Column], bands: int, rows: int, threshold: float)
 
     Triples that share tokens a and b meet in a band precisely if, for both, the third token wins none of its minima.
     """
+    def silent_bands(silent: Column, name: Column) -> Column:
+        def keys_of(flags):
+            def key(band, cut):
+                return F.when(F.forall(cut(flags), lambda x: x), F.concat(band.cast("string"), F.lit("|"), name))
+
+            return F.array_compact(_per_band(bands, rows, key))
+
+        return H.let(silent, keys_of)
+
     keys = [F.array(triple_key())]
     if threshold <= 0.5:
         for i, (a, b) in enumerate(AXIS_PAIRS):
-            silent = F.zip_with(signature([words[a], words[b]]), words[3 - a - b], lambda pair, third: pair <= third)
-            name = F.get(pair_keys(), F.lit(i))
-            keys.append(
-                F.array_compact(
-                    _per_band(
-                        bands,
-                        rows,
-                        lambda band, cut: F.when(
-                            F.forall(cut(silent), lambda x: x), F.concat(band.cast("string"), F.lit("|"), name)
-                        ),
-                    )
-                )
-            )
+            third = words[3 - a - b]
+            silent = F.zip_with(signature([words[a], words[b]]), third, lambda pair, other: pair <= other)
+            keys.append(silent_bands(silent, F.get(pair_keys(), F.lit(i))))
     return F.concat(*keys)
 
 
 def with_signature(triple_rows: DataFrame, permutations: int = S.MINHASH_PERMUTATIONS, mode: str = H.FAST) -> DataFrame:
-    """Token words and signature, computed once per distinct triple."""
+    """Token words and signature of each triple; every distinct token is hashed once and joined to its triples."""
     columns = triple_rows.columns
-    words = triple_rows.select(*columns, *[token_words(axis, permutations, mode).alias(f"words_{axis}") for axis in range(3)])
-    return words.withColumn("signature", signature([F.col(f"words_{axis}") for axis in range(3)]))
+    tokens = triple_rows.select(F.explode(F.array(*[token(axis, F.col(LEVELS[axis])) for axis in range(3)])).alias("_token"))
+    hashed = broadcast_if_small(
+        checkpointed(tokens.distinct().select("_token", H.word_array(F.col("_token"), permutations, mode).alias("_words")))
+    )
+    worded = triple_rows
+    for axis in range(3):
+        words = hashed.select(F.col("_token").alias(f"_token_{axis}"), F.col("_words").alias(f"words_{axis}"))
+        worded = worded.join(words, token(axis, F.col(LEVELS[axis])) == F.col(f"_token_{axis}"))
+    words = [F.col(f"words_{axis}") for axis in range(3)]
+    return worded.select(*columns, *words, signature(words).alias("signature"))
 
 
 # ---- exact similarity -------------------------------------------------------------------------------------------
@@ -178,44 +178,58 @@ def similar_counts(items: DataFrame) -> DataFrame:
 # ---- first partners ---------------------------------------------------------------------------------------------
 
 
-def _first_partners(items: DataFrame, keyed_triples: DataFrame, partners: int) -> DataFrame:
+def _members(items: DataFrame, partners: int) -> DataFrame:
+    """Distinct triples with their first items, one more than the partners asked for."""
+    heads = first_n(items, LEVELS, [F.col("item")], partners + 1)
+    listed = heads.groupBy(*LEVELS).agg(F.array_sort(F.collect_list("item")).alias("members"))
+    return checkpointed(spread(listed, *LEVELS))
+
+
+def _first_partners(items: DataFrame, keyed: DataFrame, partners: int) -> DataFrame:
     """Per item its first partners in item order, where partners are items whose triples share a key.
 
-    Among the first partners+1 items of each key are the first partners of every item of that key, so keys, triples
-    and items only exchange lists of that fixed length.
+    ``keyed`` holds distinct triples with their first items and their keys. The first partners+1 items of a key
+    include the first partners of every item of that key, and they sit in its first partners+1 triples. So triples,
+    keys and items only exchange lists of that fixed length, and a hot key meets its triples as a single row.
     """
     width = partners + 1
-    member = F.struct("item", *LEVELS)
-    heads = first_n(items, LEVELS, [F.col("item")], width).drop("rank")
-    by_key = heads.join(keyed_triples, LEVELS).select(F.explode("keys").alias("key"), "item", *LEVELS)
-    heads_of_key = (
-        first_n(by_key, ["key"], [F.col("item")], width)
+
+    def first_items(lists: Column) -> Column:
+        return F.slice(F.array_sort(F.array_distinct(F.flatten(lists))), 1, width)
+
+    def with_levels(members: Column) -> Column:
+        return F.transform(members, lambda m: F.struct(m.alias("item"), *LEVELS))
+
+    by_key = keyed.select(*LEVELS, F.get("members", F.lit(0)).alias("first"), "members", F.explode("keys").alias("key"))
+    shared = (
+        first_n(by_key, ["key"], [F.col("first")], width)
+        .select("key", with_levels(F.col("members")).alias("members"))
         .groupBy("key")
-        .agg(F.collect_list(member).alias("members"))
+        .agg(F.collect_list("members").alias("lists"))
+        .where(F.size("lists") > 1)
+        .select("key", first_items(F.col("lists")).alias("others"))
     )
-    merged = (
-        keyed_triples.select(*LEVELS, F.explode("keys").alias("key"))
-        .join(heads_of_key, "key")
-        .groupBy(*LEVELS)
-        .agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("members")))), 1, width).alias("members"))
+    found = by_key.select(*LEVELS, "key").join(shared, "key").groupBy(*LEVELS).agg(F.collect_list("others").alias("lists"))
+    own = F.array(with_levels(F.col("members")))
+    merged = keyed.select(*LEVELS, "members").join(found, LEVELS, "left").select(
+        *LEVELS, first_items(F.concat(own, F.coalesce("lists", F.slice(own, 1, 0)))).alias("similar")
     )
-    found = items.join(merged, LEVELS).select(
-        "item",
-        *[F.col(l).alias(f"own_{l}") for l in LEVELS],
-        F.posexplode(F.slice(F.filter("members", lambda m: m["item"] != F.col("item")), 1, partners)).alias("_pos", "_partner"),
-    )
-    flat = found.select("item", "_pos", F.col("_partner.item").alias("similar_item"), *[f"own_{l}" for l in LEVELS], *[F.col(f"_partner.{l}").alias(f"other_{l}") for l in LEVELS])
-    return flat.select(
-        "item",
-        (F.col("_pos") + 1).alias("place"),
-        "similar_item",
-        jaccard(shared_tokens("own_", "other_")).alias("jaccard"),
+    others = F.slice(F.filter("similar", lambda m: m["item"] != F.col("item")), 1, partners)
+    return (
+        items.join(merged, LEVELS)
+        .select("item", *LEVELS, F.posexplode(others).alias("_pos", "_other"))
+        .select(
+            "item",
+            (F.col("_pos") + 1).alias("place"),
+            F.col("_other.item").alias("similar_item"),
+            jaccard(shared_tokens("", "_other.")).alias("jaccard"),
+        )
     )
 
 
 def similar_first(items: DataFrame, partners: int = 3) -> DataFrame:
     """The first partners of every item with Jaccard at least 0.5."""
-    keyed = checkpointed(triples(items).select(*LEVELS, pair_keys().alias("keys")))
+    keyed = _members(items, partners).select(*LEVELS, "members", pair_keys().alias("keys"))
     return _first_partners(items, keyed, partners)
 
 
@@ -224,18 +238,17 @@ def lsh_candidates_first(
 ) -> DataFrame:
     """The first partners of every item that share an LSH bucket, unverified."""
     bands, rows = BANDING[threshold]
-    signed = with_signature(triples(items), bands * rows, mode)
-    keyed = checkpointed(signed.select(*LEVELS, band_keys(F.col("signature"), bands, rows).alias("keys")))
-    return _first_partners(items, keyed, partners)
+    signed = with_signature(_members(items, partners), bands * rows, mode)
+    keys = band_keys(F.col("signature"), bands, rows)
+    return _first_partners(items, checkpointed(signed.select(*LEVELS, "members", keys.alias("keys"))), partners)
 
 
 def lsh_verified_first(items: DataFrame, threshold: float = 0.5, partners: int = 3, mode: str = H.FAST) -> DataFrame:
     """The first partners of every item that share an LSH bucket and reach the Jaccard threshold."""
     bands, rows = BANDING[threshold]
-    signed = with_signature(triples(items), bands * rows, mode)
-    words = [F.col(f"words_{axis}") for axis in range(3)]
-    keyed = checkpointed(signed.select(*LEVELS, verified_keys(words, bands, rows, threshold).alias("keys")))
-    return _first_partners(items, keyed, partners)
+    signed = with_signature(_members(items, partners), bands * rows, mode)
+    keys = verified_keys([F.col(f"words_{axis}") for axis in range(3)], bands, rows, threshold)
+    return _first_partners(items, checkpointed(signed.select(*LEVELS, "members", keys.alias("keys"))), partners)
 
 
 # ---- index and point queries ------------------------------------------------------------------------------------
@@ -243,22 +256,24 @@ def lsh_verified_first(items: DataFrame, threshold: float = 0.5, partners: int =
 
 def minhash_signatures(items: DataFrame, permutations: int = S.MINHASH_PERMUTATIONS, mode: str = H.FAST) -> DataFrame:
     """Signature of every distinct triple."""
-    return with_signature(triples(items), permutations, mode).select(*LEVELS, "items", "signature")
+    distinct = checkpointed(spread(triples(items), *LEVELS))
+    return with_signature(distinct, permutations, mode).select(*LEVELS, "items", "signature")
 
 
 def lsh_index(items: DataFrame, threshold: float = 0.5, mode: str = H.FAST) -> DataFrame:
     """The LSH index as a table: bucket key and triple. Linear in the number of distinct triples."""
     bands, rows = BANDING[threshold]
     signed = minhash_signatures(items, bands * rows, mode)
-    return signed.select(*LEVELS, "items", F.posexplode(band_keys(F.col("signature"), bands, rows)).alias("band", "bucket"))
+    return signed.select(*LEVELS, "items", F.posexplode_outer(band_keys(F.col("signature"), bands, rows)).alias("band", "bucket"))
 
 
 def lsh_bucket_sizes(items: DataFrame, threshold: float = 0.5, mode: str = H.FAST) -> DataFrame:
     """Triples and items per bucket: where candidates would pile up."""
     return (
         lsh_index(items, threshold, mode)
-        .groupBy("band", F.md5("bucket").alias("bucket"))
+        .groupBy("band", "bucket")
         .agg(F.count(F.lit(1)).alias("triples"), F.sum("items").alias("items"))
+        .drop("bucket")
     )
 
 

@@ -243,7 +243,7 @@ def _track_queries() -> dict[str, Query]:
         "fm_registers": Query(_on(t, lambda df: distinct.long_registers(distinct.registers(df, mode=H.PORTABLE))), rows(Q.FM_REGISTERS, Q.FM_ZEROS)),
         "fm_explain": Query(_on(t, lambda df: distinct.explain_items(df, mode=H.PORTABLE)), rows(Q.FM_EXPLAIN, Q.FM_ZEROS)),
         "trailing_zeros": Query(
-            _on(t, lambda df: df.select("seq", H.trailing_zeros(H.word(H.digest(F.col("name"), 0, H.PORTABLE), 0, H.PORTABLE)).alias("trailing_zeros"))),
+            _on(t, lambda df: df.select("seq", H.trailing_zeros(H.word_at(F.col("name"), 0, H.PORTABLE)).alias("trailing_zeros"))),
             rows(f"SELECT seq, {Q.TRAILING} AS trailing_zeros FROM (SELECT seq, {Q.word('name', '0')} AS w FROM tracks)"),
         ),
         "fm_merge": Query(_fm_merge, Q.FM_MERGE),

@@ -9,9 +9,17 @@ def over(view: str, *ctes: str, select: str) -> str:
     return "WITH " + ",\n".join([view.strip(), *[c.strip() for c in ctes]]) + "\n" + select.strip()
 
 
+# Fixed values of the portable hash family: the prime 2^31 - 1 and the powers of 48271.
+_POWERS = "[" + ", ".join(str(pow(48271, i + 1, 2147483647)) for i in range(128)) + "]"
+
+
+def base(item: str) -> str:
+    return f"(('0x' || substr(md5({item}), 1, 8))::BIGINT % 2147483646 + 1)"
+
+
 def word(item: str, index: str = "i") -> str:
-    """32-bit word of the portable hash family."""
-    return f"('0x' || substr(md5(({index} // 4)::VARCHAR || ':' || {item}), (({index} % 4) * 8 + 1)::INTEGER, 8))::BIGINT"
+    """Word of the portable hash family."""
+    return f"({base(item)} * {_POWERS}[({index} + 1)::INTEGER] % 2147483647)"
 
 
 TRAILING = "(CASE WHEN w = 0 THEN 32 ELSE bit_count((w & -w) - 1) END)::INTEGER"
@@ -211,8 +219,7 @@ FROM placed"""
 
 
 def _laplace(label: str, seed: int, scale: str) -> str:
-    word_text = f"('0x' || substr(md5('0:{seed}:' || {label}), 1, 8))::BIGINT"
-    u = f"(({word_text} + 0.5::DOUBLE) / 4294967296::DOUBLE - 0.5::DOUBLE)"
+    u = f"((({base(f"'{seed}:' || {label}")} * 48271 % 2147483647) % 2147483646 + 1) / 2147483647::DOUBLE - 0.5::DOUBLE)"
     return f"(-{scale} * sign({u}) * ln(1 - 2 * abs({u})))"
 
 
@@ -335,7 +342,7 @@ buckets AS (
 
 
 LSH_INDEX = """
-SELECT band, md5(bucket) AS bucket, count(*) AS triples, sum(items)::BIGINT AS items
+SELECT band, count(*) AS triples, sum(items)::BIGINT AS items
 FROM buckets JOIN tri USING (l0, l1, l2) GROUP BY band, bucket"""
 
 CANDIDATES = f"""

@@ -51,6 +51,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash the rows over all shuffle partitions before costly per-row work; a given number is not coalesced again."""
+    return df.repartition(shuffle_partitions(df.sparkSession), *keys)
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Redistribute the rows of a scan that has fewer splits than there are cores; a large scan passes unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only after measuring the table; beyond the bound the join is left to shuffle with AQE.
 

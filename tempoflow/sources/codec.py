@@ -40,7 +40,7 @@ def flatten_items(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     """One row per playlist item that has a track; only the first artist counts."""
     track = F.col("item.track")
     return (
-        documents.select(*keep, F.explode("items").alias("item"))
+        documents.select(*keep, F.explode_outer("items").alias("item"))
         .where(track.isNotNull())
         .select(
             *keep,

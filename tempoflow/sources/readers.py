@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tempoflow.sources import tables
+
 
 def kafka_options(servers: str, topic: str, starting_offsets: str = "latest", max_offsets: int | None = None) -> dict:
     """Options of a topic scan. ``max_offsets`` bounds one micro-batch: the counterpart of a count trigger."""
@@ -30,7 +32,7 @@ def read_stream(
 
 def stream_table(spark: SparkSession, sf_dir: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
     """One parquet table of a data folder as a stream."""
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
+    schema = tables.table(spark, sf_dir, table).schema
     options = {"pathGlobFilter": f"{table}.parquet"}
     if files_per_trigger is not None:
         options["maxFilesPerTrigger"] = str(files_per_trigger)

@@ -6,13 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoflow import schema as S
+from tempoflow.session import spread_if_narrow
 from tempoflow.sources import codec
 
 COLUMNS = ("seq", "name", "artist", "popularity", "danceability", "energy", "tempo", "timestamp")
 
 
+# Layouts of the tables that are read, so that no scan starts with a schema inference job.
+SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _prefixed(prefix: str, column: Column) -> Column:
@@ -89,7 +105,8 @@ def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = F.col("l_returnflag") != F.lit("R")
     items = F.array(item(kept, F.col("l_partkey")), item(F.lit(True), F.col("l_suppkey")))
-    return table(spark, sf_dir, "lineitem").select(F.to_json(F.struct(items.alias("items"))).alias("value"))
+    lines = spread_if_narrow(table(spark, sf_dir, "lineitem"))
+    return lines.select(F.to_json(F.struct(items.alias("items"))).alias("value"))
 
 
 def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
