@@ -27,6 +27,10 @@ def bucket_level(age: Column, ones: Column) -> Column:
     return F.when((top > 0) & (age <= lower_end), top - 1).otherwise(top)
 
 
+def bucket_size(age: Column, ones: Column) -> Column:
+    return _power(bucket_level(age, ones))
+
+
 def ones_below(level: Column, ones: Column) -> Column:
     """Ones held by all buckets of lower levels."""
     return F.when(level == 0, F.lit(0).cast("bigint")).otherwise(_power(level) - 1 + (ones + 1) % _power(level))
@@ -169,5 +173,5 @@ def dgim_buckets(
     return (
         recent.join(totals, key)
         .where(is_bucket_head(age, ones))
-        .select(key, _power(bucket_level(age, ones)).alias("bucket_size"), F.col("age").alias("newest_age"))
+        .select(key, bucket_size(age, ones).alias("bucket_size"), F.col("age").alias("newest_age"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempoflow import schema as S
@@ -90,3 +90,42 @@ def windowed_stats(df: DataFrame, length: str = "1 day", slide: str | None = Non
         .agg(F.avg("popularity").alias("avg_popularity"), F.count(F.lit(1)).alias("track_count"))
         .select(F.col("window.start").alias("window_start"), group, "avg_popularity", "track_count")
     )
+
+
+def session_stats(df: DataFrame, gap_seconds: int = 1800, group: str = "artist") -> DataFrame:
+    """Artist statistics per session: a pause longer than the gap starts a new one.
+
+    Rows of one artist within one gap-long time slot always belong together, so they are aggregated first; the
+    ordered step then sees at most one row per artist and slot, however busy the artist is.
+    """
+    second = F.col("timestamp").cast("double")
+    slots = df.groupBy(group, F.floor(second / F.lit(gap_seconds)).alias("_slot")).agg(
+        F.min("timestamp").alias("_first"),
+        F.max("timestamp").alias("_last"),
+        F.sum("popularity").alias("_sum"),
+        F.count("popularity").alias("_known"),
+        F.count(F.lit(1)).alias("_rows"),
+    )
+    in_time = Window.partitionBy(group).orderBy("_slot")
+    pause = F.col("_first").cast("double") - F.lag("_last").over(in_time).cast("double")
+    opens = F.when(pause <= F.lit(float(gap_seconds)), F.lit(0)).otherwise(F.lit(1))
+    numbered = slots.withColumn("_opens", opens).withColumn("_session", F.sum("_opens").over(in_time))
+    return (
+        numbered.groupBy(group, "_session")
+        .agg(
+            F.min("_first").alias("session_start"),
+            F.max("_last").alias("session_end"),
+            (F.sum("_sum") / F.sum("_known")).alias("avg_popularity"),
+            F.sum("_rows").alias("track_count"),
+        )
+        .drop("_session")
+    )
+
+
+def session_stats_stream(df: DataFrame, gap: str = "30 minutes", group: str = "artist") -> DataFrame:
+    """The same with Spark's session window, for streams with a watermark."""
+    return (
+        df.groupBy(F.session_window("timestamp", gap), group)
+        .agg(F.avg("popularity").alias("avg_popularity"), F.count(F.lit(1)).alias("track_count"))
+        .select(F.col("session_window.start").alias("session_start"), group, "avg_popularity", "track_count")
+    )

@@ -14,7 +14,10 @@ from tempoflow.functions import scalars
 from tempoflow.operators import clustering, distinct, lastn, membership, privacy, sampling, similarity, stats, unlearning
 from tempoflow.plans import oracle as Q
 from tempoflow.plans import views as V
-from tempoflow.sources import codec, tables
+from tempoflow.session import stage_path
+from tempoflow.sources import codec, readers, tables
+from tempoflow.streaming import epochs, jobs, stateful
+from tempoflow.streaming.epochs import AVAILABLE_NOW, finish
 
 View = Callable[[SparkSession, str], DataFrame]
 
@@ -276,6 +279,9 @@ def _track_queries() -> dict[str, Query]:
         "sliding_artist_stats": Query(
             _on(t, lambda df: rounded(timed(stats.windowed_stats(df, "24 hours", "12 hours"), "window_start"))), rows(Q.SLIDING)
         ),
+        "session_artist_stats": Query(
+            _on(t, lambda df: rounded(timed(stats.session_stats(df), "session_start", "session_end"))), rows(Q.SESSIONS)
+        ),
     }
 
 
@@ -305,11 +311,117 @@ def _unlearning_queries() -> dict[str, Query]:
     }
 
 
+def _track_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.tracks_from_events(readers.stream_table(spark, sf_dir, "events"))
+
+
+def _snapshot(build: Callable[[DataFrame], DataFrame], show: Callable[[DataFrame], DataFrame]):
+    """Run a streaming aggregate over the whole table and return what its last epoch left."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        query, table = jobs.snapshot_job(build(_track_stream(spark, sf_dir)), stage_path(spark, "stream"), AVAILABLE_NOW)
+        finish(query)
+        return show(table.latest(spark))
+
+    return run
+
+
+def _appended(build: Callable[[DataFrame], DataFrame], show: Callable[[DataFrame], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = build(_track_stream(spark, sf_dir))
+        query, path = jobs.append_job(rows, stage_path(spark, "stream"), AVAILABLE_NOW)
+        finish(query)
+        return show(spark.read.schema(rows.schema).parquet(path))
+
+    return run
+
+
+def _stream_reservoir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slim = _track_stream(spark, sf_dir).select("seq", "name", "artist", F.col("popularity").cast("double").alias("popularity"))
+    query, table = jobs.reservoir_job(
+        slim, stage_path(spark, "stream"), key=sampling.hashed_key(), tie=("seq",), trigger=AVAILABLE_NOW
+    )
+    finish(query)
+    return table.latest(spark).drop(sampling.KEY)
+
+
+def _stream_dgim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    query, table = jobs.dgim_job(_track_stream(spark, sf_dir), stage_path(spark, "stream"), AVAILABLE_NOW)
+    finish(query)
+    return stateful.dgim_estimates(table.latest(spark)).withColumnRenamed("group", "artist")
+
+
+def _stream_unlearn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    query, table = jobs.unlearn_job(
+        _track_stream(spark, sf_dir), lambda: V.forget_requests(spark, sf_dir), stage_path(spark, "stream"), trigger=AVAILABLE_NOW
+    )
+    finish(query)
+    return shown(table.all(spark))
+
+
+def _stream_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The micro-batch analytics over the whole table; the trending report of its last epoch."""
+    path = stage_path(spark, "stream")
+    finish(epochs.start(_track_stream(spark, sf_dir), jobs.batch_analytics(path), f"{path}/checkpoint", trigger=AVAILABLE_NOW))
+    trending = spark.read.parquet(f"{path}/trending")
+    return trending.where(F.col("epoch") == trending.agg(F.max("epoch")).scalar()).drop("epoch")
+
+
+def _stream_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The micro-batch filters over the whole table; the private averages of its last epoch."""
+    path = stage_path(spark, "stream")
+    handler = jobs.batch_filters(path, uniform=privacy.hashed_uniform(7), sample_key=sampling.hashed_key(), mode=H.PORTABLE)
+    finish(epochs.start(_track_stream(spark, sf_dir), handler, f"{path}/checkpoint", trigger=AVAILABLE_NOW))
+    private = spark.read.parquet(f"{path}/private_stats")
+    return rounded(private.where(F.col("epoch") == private.agg(F.max("epoch")).scalar()).drop("epoch"))
+
+
+def _wire(stream: DataFrame) -> DataFrame:
+    """Records to JSON messages and back inside one stream."""
+    return codec.decode(codec.encode(stream, keep=("seq",)), keep=("seq",))
+
+
+def _stream_queries() -> dict[str, Query]:
+    rows = lambda text, *ctes: Q.over(V.TRACKS, *ctes, select=text)
+    day_windows = lambda df: stats.windowed_stats(df.withWatermark("timestamp", "1 day"))
+    dgim_sql = Q.DGIM_STATS.format(key="a.k AS artist, ")
+    return {
+        "stream_artist_stats": Query(_snapshot(stats.artist_stats, lambda df: rounded(stats.by_track_count(df))), rows(Q.ARTIST_STATS)),
+        "stream_total": Query(_snapshot(stats.running_total, lambda df: df), rows("SELECT count(*) AS total_tracks FROM tracks")),
+        "stream_fm": Query(
+            _snapshot(lambda df: jobs.distinct_registers(df, H.PORTABLE), lambda df: rounded(distinct.estimate(df))),
+            rows(Q.FM_ESTIMATE, Q.FM_ZEROS),
+        ),
+        "stream_bloom": Query(_snapshot(lambda df: jobs.popular_bloom(df, mode=H.PORTABLE), lambda df: df), rows(Q.BLOOM_WORDS, Q.bloom(80))),
+        "stream_windowed_stats": Query(
+            _snapshot(day_windows, lambda df: rounded(timed(df, "window_start"))), rows(Q.TUMBLING)
+        ),
+        "stream_json_decode": Query(_appended(_wire, shown), rows(Q.TRACK_ROWS)),
+        "stream_dedup": Query(
+            _appended(jobs.dedup_stream, lambda df: timed(df.select("name", "artist", "timestamp"))),
+            rows(f"SELECT name, artist, {Q.TIME} AS timestamp FROM (SELECT DISTINCT name, artist, timestamp FROM tracks)"),
+        ),
+        "stream_reservoir": Query(_stream_reservoir, rows(Q.RESERVOIR)),
+        "stream_dgim": Query(
+            _stream_dgim,
+            rows(
+                f"SELECT artist, signal, estimated_count, current_position, bucket_count FROM ({dgim_sql})",
+                Q.BITS,
+                Q.dgim("artist"),
+            ),
+        ),
+        "stream_unlearn": Query(_stream_unlearn, rows(Q.UNLEARN_STREAMED, Q.GONE)),
+        "stream_batch_analytics": Query(_stream_analytics, rows(Q.TRENDING)),
+        "stream_batch_filters": Query(_stream_filters, rows(Q.DP_STATS)),
+    }
+
+
 def catalog() -> dict[str, Query]:
     found = _record_queries()
     found |= _stats_queries("", tables.tracks, V.TRACKS, has_seq=True)
     found |= _track_queries()
     found |= _unlearning_queries()
+    found |= _stream_queries()
     found |= _stats_queries("_orders", tables.order_plays, V.ORDERS, has_seq=True)
     found |= _stats_queries("_lines", tables.line_plays, V.LINES, has_seq=False)
     return found

@@ -428,7 +428,16 @@ SELECT strftime(date_trunc('day', timestamp), '%Y-%m-%d %H:%M:%S') AS window_sta
 FROM tracks GROUP BY ALL"""
 
 SLIDING = """
-SELECT strftime(date_trunc('day', timestamp) - to_hours(0) + to_hours((hour(timestamp) // 12) * 12) - to_hours(12 * b),
+SELECT strftime(date_trunc('day', timestamp) + to_hours((hour(timestamp) // 12) * 12) - to_hours(12 * b),
                 '%Y-%m-%d %H:%M:%S') AS window_start,
        artist, round(avg(popularity), 6) AS avg_popularity, count(*) AS track_count
 FROM tracks, range(2) r(b) GROUP BY ALL"""
+
+SESSIONS = """
+SELECT artist, strftime(min(timestamp), '%Y-%m-%d %H:%M:%S') AS session_start,
+       strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') AS session_end, round(avg(popularity), 6) AS avg_popularity,
+       count(*) AS track_count
+FROM (SELECT *, sum(opens) OVER (PARTITION BY artist ORDER BY timestamp, seq ROWS UNBOUNDED PRECEDING) AS session
+      FROM (SELECT *, CASE WHEN timestamp - lag(timestamp) OVER (PARTITION BY artist ORDER BY timestamp, seq)
+                                <= INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS opens FROM tracks))
+GROUP BY artist, session"""
