@@ -190,7 +190,8 @@ def _first_partners(items: DataFrame, keyed: DataFrame, partners: int) -> DataFr
 
     ``keyed`` holds distinct triples with their first items and their keys. The first partners+1 items of a key
     include the first partners of every item of that key, and they sit in its first partners+1 triples. So triples,
-    keys and items only exchange lists of that fixed length, and a hot key meets its triples as a single row.
+    keys and items only exchange lists of that fixed length, and a hot key meets its triples as a single row. Keys of
+    a single triple (most LSH buckets) add nothing to the triple's own items and are dropped before that join.
     """
     width = partners + 1
 
