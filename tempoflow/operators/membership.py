@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tempoflow import schema as S
 from tempoflow.functions import hashing as H
-from tempoflow.session import checkpointed
+from tempoflow.session import checkpointed, splittable
 
 WORD_BITS = 32
 # A filter of up to this many bits travels to the executors as one literal array; larger ones are joined.
@@ -107,7 +107,7 @@ def _probe_joined(df: DataFrame, words: DataFrame, item: str, bits: int, hashes:
     answered = needed.join(words, "word_no", "left").groupBy("_item").agg(
         F.bool_and(F.coalesce(F.col("word").bitwiseAND(_bit("position")) != 0, F.lit(False))).alias("hit")
     )
-    return df.join(answered.where("hit"), df[item] == F.col("_item"), "left_semi")
+    return df.join(splittable(answered.where("hit"), "_item"), df[item] == F.col("_item"), "left_semi")
 
 
 def quality(

@@ -15,8 +15,8 @@ KEY = "sample_key"
 
 
 def random_key(seed: int | None = None) -> Column:
-    """A fresh random key per row."""
-    return F.rand(seed) if seed is not None else F.rand()
+    """A fresh random key per row, as text of fixed length so that it sorts evenly."""
+    return F.md5((F.rand() if seed is None else F.rand(seed)).cast("string"))
 
 
 def hashed_key(identity: str = "seq", seed: int = 0) -> Column:

@@ -19,7 +19,7 @@ from tempoflow import schema as S
 from tempoflow.functions import hashing as H
 from tempoflow.functions.scalars import composite_id, feature_levels, token
 from tempoflow.operators.ranking import first_n
-from tempoflow.session import broadcast_if_small, checkpointed, spread
+from tempoflow.session import broadcast_if_small, checkpointed, splittable, spread
 
 LEVELS = ["level_0", "level_1", "level_2"]
 AXIS_PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -123,9 +123,8 @@ def with_signature(triple_rows: DataFrame, permutations: int = S.MINHASH_PERMUTA
     """Token words and signature of each triple; every distinct token is hashed once and joined to its triples."""
     columns = triple_rows.columns
     tokens = triple_rows.select(F.explode(F.array(*[token(axis, F.col(LEVELS[axis])) for axis in range(3)])).alias("_token"))
-    hashed = broadcast_if_small(
-        checkpointed(tokens.distinct().select("_token", H.word_array(F.col("_token"), permutations, mode).alias("_words")))
-    )
+    hashed = tokens.distinct().select("_token", H.word_array(F.col("_token"), permutations, mode).alias("_words"))
+    hashed = broadcast_if_small(checkpointed(splittable(hashed, "_token")))
     worded = triple_rows
     for axis in range(3):
         words = hashed.select(F.col("_token").alias(f"_token_{axis}"), F.col("_words").alias(f"words_{axis}"))
@@ -163,7 +162,7 @@ def similar_counts(items: DataFrame) -> DataFrame:
     pairs = distinct.select(*LEVELS, "items", F.explode(pair_keys()).alias("key"))
     per_key = pairs.groupBy("key").agg(F.sum("items").alias("sharing"))
     per_triple = (
-        pairs.join(per_key, "key")
+        pairs.join(splittable(per_key, "key"), "key")
         .groupBy(*LEVELS)
         .agg(F.first("items").alias("items"), F.sum("sharing").alias("sharing"))
         .select(
@@ -172,7 +171,7 @@ def similar_counts(items: DataFrame) -> DataFrame:
             (F.col("sharing") - F.col("items") * 3).alias("half_shared"),
         )
     )
-    return items.join(per_triple, LEVELS).select("item", "identical", "half_shared")
+    return items.join(splittable(per_triple, *LEVELS), LEVELS).select("item", "identical", "half_shared")
 
 
 # ---- first partners ---------------------------------------------------------------------------------------------
@@ -210,14 +209,15 @@ def _first_partners(items: DataFrame, keyed: DataFrame, partners: int) -> DataFr
         .where(F.size("lists") > 1)
         .select("key", first_items(F.col("lists")).alias("others"))
     )
-    found = by_key.select(*LEVELS, "key").join(shared, "key").groupBy(*LEVELS).agg(F.collect_list("others").alias("lists"))
+    pairs = by_key.select(*LEVELS, "key").join(splittable(shared, "key"), "key")
+    found = pairs.groupBy(*LEVELS).agg(F.collect_list("others").alias("lists"))
     own = F.array(with_levels(F.col("members")))
     merged = keyed.select(*LEVELS, "members").join(found, LEVELS, "left").select(
         *LEVELS, first_items(F.concat(own, F.coalesce("lists", F.slice(own, 1, 0)))).alias("similar")
     )
     others = F.slice(F.filter("similar", lambda m: m["item"] != F.col("item")), 1, partners)
     return (
-        items.join(merged, LEVELS)
+        items.join(splittable(merged, *LEVELS), LEVELS)
         .select("item", *LEVELS, F.posexplode(others).alias("_pos", "_other"))
         .select(
             "item",

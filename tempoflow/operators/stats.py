@@ -23,7 +23,7 @@ def by_track_count(stats: DataFrame, group: str = "artist") -> DataFrame:
 
 
 def artist_stats_top(df: DataFrame, k: int = 5, group: str = "artist") -> DataFrame:
-    """Ranks on the counts first and rounds only the k rows that are shown."""
+    """The k busiest artists with averages rounded to two decimals; each task keeps k rows."""
     return by_track_count(artist_stats(df, group, decimals=2), group).limit(k)
 
 

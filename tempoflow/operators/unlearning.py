@@ -14,7 +14,7 @@ from tempoflow import schema as S
 from tempoflow.operators.privacy import mask_features
 from tempoflow.operators.ranking import last_n_overall
 from tempoflow.operators.stats import track_history
-from tempoflow.session import broadcast_if_small
+from tempoflow.session import broadcast_if_small, splittable
 
 # Request types.
 TYPES = ("track", "artist", "feature")
@@ -44,13 +44,13 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def forgotten(requests: DataFrame, kind: str) -> DataFrame:
-    """Forgotten items with the time of their first request."""
-    return (
-        accepted(requests)
-        .where(F.col("type") == kind)
-        .groupBy(F.col("item").alias("forgotten_item"))
-        .agg(F.min("timestamp").alias("forgotten_at"))
-    )
+    """Forgotten items with the time of each request.
+
+    Repeated requests are kept: semi and anti joins do not mind, and an ungrouped side lets adaptive execution split a
+    hot track or artist.
+    """
+    named = accepted(requests).where(F.col("type") == kind)
+    return named.select(F.col("item").alias("forgotten_item"), F.col("timestamp").alias("forgotten_at"))
 
 
 def masked_features(requests: DataFrame) -> list[str]:
@@ -126,8 +126,9 @@ def verify_all(df: DataFrame, requests: DataFrame, n: int = S.WINDOW_ARRIVALS) -
 
 def verify_tracks(df: DataFrame, processed: DataFrame, requests: DataFrame) -> DataFrame:
     """Per track ever seen: forgotten by name, forgotten through an artist, and what history is left of it."""
-    tracks = broadcast_if_small(forgotten(requests, "track").select("forgotten_item"))
-    artists = broadcast_if_small(forgotten(requests, "artist").select("forgotten_item"))
+    tracks = forgotten(requests, "track").select("forgotten_item").distinct()
+    artists = splittable(forgotten(requests, "artist").select("forgotten_item").distinct(), "forgotten_item")
+    artists = broadcast_if_small(artists)
     # Pairs of track and artist are aggregated first, so a hot track or artist joins as one row per pair.
     pairs = df.select("name", "artist").where(F.col("name").isNotNull()).distinct()
     by_artist = (

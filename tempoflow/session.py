@@ -67,6 +67,15 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def splittable(df: DataFrame, *keys: str) -> DataFrame:
+    """Prepare the one-row-per-key side of a join whose other side may be dominated by one key.
+
+    Adaptive execution splits a hot key only if both sides of the join are plain shuffles. A side that was just grouped
+    by the join key would be used as it lies, so it is moved once by a hash of the key; the join then shuffles both.
+    """
+    return df.repartition(F.xxhash64(*keys))
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only after measuring the table; beyond the bound the join is left to shuffle with AQE.
 

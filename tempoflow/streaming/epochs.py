@@ -22,35 +22,44 @@ Handler = Callable[[DataFrame, int], None]
 
 
 class EpochTable:
-    """Results of a stream, one folder per epoch."""
+    """What a stream leaves after each epoch.
 
-    def __init__(self, path: str, schema: StructType):
+    A history keeps one folder per epoch. State and snapshots need only the last epochs: with ``slots`` the folders are
+    reused in turn, so storage stays bounded; two slots suffice, since epoch n reads n-1 and overwrites n-2.
+    """
+
+    def __init__(self, path: str, schema: StructType, slots: int | None = None):
         self.path = path
         self.schema = schema
+        self.slots = slots
 
     def _folder(self, epoch: int) -> str:
-        return f"{self.path}/epoch={epoch}"
+        return f"{self.path}/epoch={epoch}" if self.slots is None else f"{self.path}/slot={epoch % self.slots}"
 
-    def write(self, df: DataFrame, epoch: int) -> None:
-        df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._folder(epoch))
+    def _stored(self, spark: SparkSession, path: str) -> DataFrame:
+        return spark.read.schema(StructType([*self.schema.fields, StructField("epoch", LongType())])).parquet(path)
 
-    def read(self, spark: SparkSession, epoch: int) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(self._folder(epoch))
+    def write(self, df: DataFrame, epoch: int) -> None:
+        rows = df.select(*self.schema.fieldNames())
+        if self.slots is not None:
+            rows = rows.withColumn("epoch", F.lit(epoch).cast("bigint"))
+        rows.write.mode("overwrite").parquet(self._folder(epoch))
 
     def before(self, spark: SparkSession, epoch: int) -> DataFrame:
         """State left by the previous epoch; nothing before the first one."""
         if epoch == 0:
             return spark.createDataFrame([], self.schema)
-        return self.read(spark, epoch - 1)
+        if self.slots is None:
+            return spark.read.schema(self.schema).parquet(self._folder(epoch - 1))
+        return self._stored(spark, self._folder(epoch - 1)).where(F.col("epoch") == epoch - 1).drop("epoch")
 
     def all(self, spark: SparkSession) -> DataFrame:
-        with_epoch = StructType([*self.schema.fields, StructField("epoch", LongType())])
-        return spark.read.schema(with_epoch).parquet(self.path)
+        return self._stored(spark, self.path)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """The newest epoch with rows."""
         rows = self.all(spark)
-        return rows.where(F.col("epoch") == rows.agg(F.max("epoch")).scalar()).drop("epoch")
+        return rows.where(F.col("epoch") == rows.agg(F.max("epoch")).scalar()).drop("epoch", "slot")
 
 
 def start(

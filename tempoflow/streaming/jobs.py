@@ -27,8 +27,8 @@ def artist_stats_console(stream: DataFrame, checkpoint: str, trigger: dict | Non
 def snapshot_job(
     aggregate: DataFrame, path: str, trigger: dict | None = None
 ) -> tuple[StreamingQuery, EpochTable]:
-    """Run any streaming aggregate in complete mode and keep its result per epoch."""
-    table = EpochTable(f"{path}/result", aggregate.schema)
+    """Run any streaming aggregate in complete mode and keep its latest result."""
+    table = EpochTable(f"{path}/result", aggregate.schema, slots=2)
     return epochs.start_snapshots(aggregate, table, f"{path}/checkpoint", trigger), table
 
 
@@ -45,14 +45,13 @@ def reservoir_job(
     tie: tuple[str, ...] = (),
     trigger: dict | None = None,
 ) -> tuple[StreamingQuery, EpochTable]:
-    key = F.rand().cast("string") if key is None else key
-    table = EpochTable(f"{path}/result", stateful.reservoir_schema(stream.schema))
+    table = EpochTable(f"{path}/result", stateful.reservoir_schema(stream.schema), slots=2)
     handler = stateful.reservoir_handler(table, k, key, tie)
     return epochs.start(stream, handler, f"{path}/checkpoint", trigger=trigger), table
 
 
 def dgim_job(stream: DataFrame, path: str, trigger: dict | None = None, **options) -> tuple[StreamingQuery, EpochTable]:
-    table = EpochTable(f"{path}/result", stateful.DGIM_STATE)
+    table = EpochTable(f"{path}/result", stateful.DGIM_STATE, slots=2)
     return epochs.start(stream, stateful.dgim_handler(table, **options), f"{path}/checkpoint", trigger=trigger), table
 
 
@@ -99,18 +98,16 @@ def batch_filters(
     mode: str = H.FAST,
 ) -> epochs.Handler:
     """Per micro-batch: Bloom filter and sample carried on, private averages, k-anonymous rows, similarity, top artists."""
-    sample_key = F.rand().cast("string") if sample_key is None else sample_key
-
     def handle(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
             popular = membership.build(batch.where(above("popularity", popular_above)), "name", bits, hashes, mode)
-            bloom = EpochTable(f"{path}/bloom", popular.schema)
+            bloom = EpochTable(f"{path}/bloom", popular.schema, slots=2)
             bloom.write(membership.merge(bloom.before(spark, epoch), popular), epoch)
 
             candidates = sampling.keyed(batch.select("seq", "name", "artist", "popularity"), sample_key)
-            sample = EpochTable(f"{path}/sample", candidates.schema)
+            sample = EpochTable(f"{path}/sample", candidates.schema, slots=2)
             sample.write(sampling.merge(sample.before(spark, epoch), candidates, tie=("seq",)), epoch)
 
             if batch.isEmpty():
