@@ -35,7 +35,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="tempoflow-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured

@@ -6,24 +6,36 @@ from pyspark.sql import functions as F
 from tempoflow import session
 
 
-def test_shared_folder_is_read_from_the_session(spark, tmp_path):
-    key = "spark.checkpoint.dir"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(tmp_path))
-    try:
-        assert session.shared_dir(spark) == str(tmp_path)
-        assert session.stage_path(spark, "x").startswith(f"{tmp_path}/x-")
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+class FakeContext:
+    def __init__(self, master):
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def fake_session(master, configured=None):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: configured or default), sparkContext=FakeContext(master))
+
+
+def test_shared_folder_is_read_from_the_session():
+    cluster = fake_session("spark://host:7077", "hdfs://host/shared")
+    assert session.shared_dir(cluster) == cluster.sparkContext.folder == "hdfs://host/shared"
+    assert session.stage_path(cluster, "x").startswith("hdfs://host/shared/x-")
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
-    cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default),
-        sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None),
-    )
     with pytest.raises(RuntimeError):
-        session.shared_dir(cluster)
+        session.shared_dir(fake_session("spark://host:7077"))
+
+
+def test_a_local_session_falls_back_to_one_temporary_folder():
+    local = fake_session("local[8]")
+    assert session.shared_dir(local) == session.shared_dir(local) == local.sparkContext.folder
 
 
 def test_checkpoint_cuts_the_lineage(spark):
