@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import base64
-
-import numpy as np
+import sys
+from array import array
+from functools import cache
 
 SPECIAL = "<|endoftext|>"  # Fixed value: the vocabulary's special token
 SPECIAL_ID = 50256
+assert sys.byteorder == "little" and array("I").itemsize == 4
 
 
 class ByteBPE:
@@ -17,25 +19,30 @@ class ByteBPE:
     starts a new token there, so the ids of a part do not depend on its neighbours and frequent parts are remembered.
     """
 
-    def __init__(self, ranks_path: str, limit: int = 200_000):
+    def __init__(self, ranks_path: str, limit: int = 300_000):
         import public_tokenizers
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         coder = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._encode, self._limit = coder.encode_ordinary, limit
+        self._encode, self._single, self._limit = coder.encode_ordinary, coder._encode_single_piece, limit
         self._plain: dict[str, bytes] = {}
         self._spaced: dict[str, bytes] = {}
         self._line = self._ids("\n")
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self._encode(text), dtype="<u4").tobytes()
+        return array("I", self._encode(text)).tobytes()
 
     def _known(self, memory: dict, prefix: str, part: str) -> bytes:
         found = memory.get(part)
         if found is None:
-            found = self._ids(prefix + part)
+            if part.isalpha():  # letters are one piece of the pattern
+                found = array("I", self._single(prefix + part)).tobytes()
+            elif part[-1] in ",." and part[:-1].isalpha():
+                found = self._known(memory, prefix, part[:-1]) + self._known(self._plain, "", part[-1])
+            else:
+                found = self._ids(prefix + part)
             if len(memory) < self._limit and len(part) < 40:
                 memory[part] = found
         return found
@@ -80,5 +87,11 @@ class ByteBPE:
     def encode(self, text: str) -> bytes:
         if SPECIAL not in text:
             return self._ordinary(text) if text else b""
-        mark = np.array([SPECIAL_ID], dtype="<u4").tobytes()
+        mark = array("I", [SPECIAL_ID]).tobytes()
         return mark.join(self._ordinary(part) if part else b"" for part in text.split(SPECIAL))
+
+
+@cache
+def coder(ranks_path: str) -> ByteBPE:
+    """One coder per worker process, so that its memory outlives a task."""
+    return ByteBPE(ranks_path)

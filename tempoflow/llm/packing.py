@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempoflow.llm.bytebpe import ByteBPE
+from tempoflow.llm.bytebpe import coder
 
 TIERS = (1024, 512, 256, 128)
 STEP = 64
@@ -130,7 +130,7 @@ def pack(docs: DataFrame, ranks_path: str | None = None, tiers=TIERS, step: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        coder = ByteBPE(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        encode = coder(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken")).encode
         packer, base = Packer(tiers, step), TaskContext.get().partitionId() << 36
 
         def out(rows):
@@ -143,7 +143,7 @@ def pack(docs: DataFrame, ranks_path: str | None = None, tiers=TIERS, step: int
         names = [part.split()[0] for part in SCHEMA.split(", ")]
         for batch in batches:
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                packer.add(doc, coder.encode(value.as_py() or "") + b"\0\0\0\0")
+                packer.add(doc, encode(value.as_py() or "") + b"\0\0\0\0")
                 if packer.tokens >= POOL_TOKENS and (rows := packer.flush()):
                     yield out(rows)
         if rows := packer.flush(last=True):
