@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import licenses, packing, simhash
+from tempoflow.llm import chat, licenses, packing, simhash
 from tempoflow.llm.common import read
 
 
@@ -15,6 +15,16 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+#: A conversation that every run formats beside those of the table.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], turns.schema)
+    return chat.digest(chat.render(turns.union(probe)))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).select(F.col("*")).drop("spans")
 
@@ -26,6 +36,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
+        "op3_chat_format": op3_chat_format,
         "op8_license_scan": op8_license_scan,
         "op9_packing": op9_packing,
     }
