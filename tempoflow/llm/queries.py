@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, licenses, packing, simhash
+from tempoflow.llm import chat, crf, licenses, packing, simhash
 from tempoflow.llm.common import read
 
 
@@ -25,6 +25,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.render(turns.union(probe)))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return crf.identify(docs, crf.train(docs))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).select(F.col("*")).drop("spans")
 
@@ -37,6 +42,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_chat_format": op3_chat_format,
+        "op6_language_id": op6_language_id,
         "op8_license_scan": op8_license_scan,
         "op9_packing": op9_packing,
     }
