@@ -164,13 +164,9 @@ def _mixed(sample: list[tuple[bytes, int]], seed: int = 7) -> tuple[list[bytes],
             spans.append((b" ".join(words[at : at + n]), label))
             at += n
     rng.shuffle(spans)
-    lines, gold = [], []
-    for k in range(0, len(spans), 12):
-        group = spans[k : k + 12]
-        lines.append(b" ".join(s for s, _ in group))
-        for text, label in group:
-            gold.append(np.full(int(features([text]).counts[0]), label))
-    return lines, np.concatenate(gold) if gold else np.empty(0, int)
+    lines = [b" ".join(s for s, _ in spans[k : k + 12]) for k in range(0, len(spans), 12)]
+    sizes = features([s for s, _ in spans]).counts
+    return lines, np.repeat(np.array([label for _, label in spans], int), sizes)
 
 
 def fit(sample: list[tuple[str, str]], rounds: int = ROUNDS) -> Model:

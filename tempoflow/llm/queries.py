@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, crf, licenses, packing, simhash
+from tempoflow.llm import chat, crf, licenses, packing, runlength, simhash
 from tempoflow.llm.common import read
 
 
@@ -38,6 +38,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlength.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -45,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": op6_language_id,
         "op8_license_scan": op8_license_scan,
         "op9_packing": op9_packing,
+        "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
 
 
