@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, crf, licenses, packing, runlength, simhash
+from tempoflow.llm import chat, crf, debruijn, licenses, packing, runlength, simhash
 from tempoflow.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.identify(docs, crf.train(docs))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents")).select(F.col("*")).drop("spans")
 
@@ -47,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_chat_format": op3_chat_format,
         "op6_language_id": op6_language_id,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_license_scan": op8_license_scan,
         "op9_packing": op9_packing,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
