@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, crf, debruijn, licenses, packing, runlength, simhash
+from tempoflow.llm import chat, covertree, crf, debruijn, licenses, packing, runlength, simhash
 from tempoflow.llm.common import read
 
 
@@ -25,6 +25,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.render(turns.union(probe)))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return crf.identify(docs, crf.train(docs))
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_chat_format": op3_chat_format,
+        "op5_embedding_near_dedup": op5_embedding_near_dedup,
         "op6_language_id": op6_language_id,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_license_scan": op8_license_scan,
