@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, covertree, crf, debruijn, licenses, packing, runlength, simhash
+from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, runlength, simhash
 from tempoflow.llm.common import read
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmtree.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_nearest_neighbours": op1_nearest_neighbours,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_chat_format": op3_chat_format,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,
