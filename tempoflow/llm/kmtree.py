@@ -15,8 +15,8 @@ from tempoflow.llm.vectors import matrix, usable
 SAMPLE = 20_000
 BRANCH = 8
 LEAF = 40
-CALIBRATION = 64
-TARGET = 0.95
+CALIBRATION = 128
+TARGET = 0.97
 MEMBERS = 8192
 QUERIES = 1024
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, runlength, simhash
+from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, runlength, simhash, viterbi
 from tempoflow.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.render(turns.union(probe)))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.decoded(viterbi.encode(read(spark, sf_dir, "documents")))
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_nearest_neighbours": op1_nearest_neighbours,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_chat_format": op3_chat_format,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_embedding_near_dedup": op5_embedding_near_dedup,
         "op6_language_id": op6_language_id,
         "op7_substring_dedup": op7_substring_dedup,
