@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempoflow.llm.anchors import minimizers, stretches, sums, windowed
-from tempoflow.llm.common import TEXT_KEY, back_to_rows, distinct_texts, staged
+from tempoflow.llm.common import TEXT_KEY, back_to_rows, distinct_texts, staged, text_key
 
 LENGTH = 200
 GRAM = 40
@@ -344,6 +344,5 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     """Rows of ``docs`` with the repeated stretches cut out of their texts; every row stays, and other columns as they are."""
     texts = distinct_texts(docs, text)
     changed = kept_texts(texts, repeated(texts, length), length).where("n_removed > 0").select(*TEXT_KEY, F.col("kept").alias("kept_text"))
-    keyed = docs.select("*", F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(0x51ED270B), F.col(text), F.length(text)).alias("t2"))
-    joined = keyed.join(changed.repartition(F.xxhash64(*TEXT_KEY)), list(TEXT_KEY), "left")
-    return joined.select(*[F.coalesce("kept_text", text).alias(text) if c == text else F.col(c) for c in docs.columns])
+    joined = docs.select(F.struct(*docs.columns).alias("row"), *text_key(text)).join(changed.repartition(F.xxhash64(*TEXT_KEY)), list(TEXT_KEY), "left")
+    return joined.select(*[F.coalesce("kept_text", "row." + c).alias(c) if c == text else F.col("row." + c) for c in docs.columns])

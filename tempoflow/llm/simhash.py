@@ -176,7 +176,11 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
 
 
 def keep_first(docs: DataFrame, row_id: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of their component; rows with a null id stay, of repeated rows one stays."""
-    found = near_duplicates(docs, row_id, text, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    first = docs.dropDuplicates([row_id]).join(found.distinct(), F.col(row_id) == F.col("kept_id")).drop("kept_id")
+    """Rows of ``docs``, with all of their columns, whose id is the smallest of their component.
+
+    Rows with a null id stay. Of rows that share an id and a text one stays; rows that share an id only are judged each.
+    """
+    found = near_duplicates(docs, row_id, text, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(row_id).cast("long").alias("id"), F.xxhash64(text).alias("h"))
+    first = rows.where("id is not null").join(found, "id").dropDuplicates(["id", "h"]).select("row.*")
     return first.unionByName(docs.where(F.col(row_id).isNull()))

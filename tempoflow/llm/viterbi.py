@@ -65,6 +65,7 @@ class Stream:
         self.done = 0  # starts worked off
         self.reach = 0
         self.cut = 0  # the last boundary that no piece reaches over
+        self.look = 4 * pieces.longest  # when to follow backpointers next
 
     def _advance(self, last: bool) -> None:
         """Opens all starts whose pieces are known to the end: those with the longest piece's length of text before them."""
@@ -129,8 +130,11 @@ class Stream:
         self._advance(last=False)
         if self.cut:
             return self._commit(self.cut)
-        if self.done > 4 * self.pieces.longest and (meet := self._meeting()):
-            return self._commit(meet)
+        if self.done > self.look:
+            if meet := self._meeting():
+                self.look = 4 * self.pieces.longest
+                return self._commit(meet)
+            self.look = 2 * self.done  # equal paths that never meet cost a constant share more, not a square
         return []
 
     def finish(self) -> list[int]:
