@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempoflow import schema as S
-from tempoflow.operators.ranking import first_n
 
 
 def fit(
@@ -43,19 +42,26 @@ def kmeans_clusters(df: DataFrame, **options) -> DataFrame:
     return assign(df, fit(df, **options))
 
 
-def cluster_profile(clustered: DataFrame, samples: int = 5) -> DataFrame:
-    """Size and rounded averages per cluster, with the first few song names as a sample.
-
-    A cluster may hold most of the rows: the names are cut to the sample size per task before they are shuffled.
-    """
+def cluster_profile(clustered: DataFrame) -> DataFrame:
+    """Size and rounded averages per cluster; the songs of each cluster are listed by :func:`cluster_members`."""
     profile = clustered.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("songs_in_cluster"),
         *[F.round(F.avg(m), 2).alias(f"avg_{m}") for m in S.METRICS],
     )
-    names = clustered.select("cluster", "name").distinct()
-    sample = (
-        first_n(names, ["cluster"], [F.col("name")], samples)
-        .groupBy("cluster")
-        .agg(F.array_sort(F.collect_list("name")).alias("sample_songs"))
+    return profile.orderBy("cluster")
+
+
+def cluster_members(clustered: DataFrame) -> DataFrame:
+    """All songs of every cluster as rows, with how often each occurs in it."""
+    return clustered.groupBy("cluster", "name").agg(F.count(F.lit(1)).alias("songs"))
+
+
+def distance_check(clustered: DataFrame, model: PipelineModel, features: tuple[str, ...] = S.FEATURES) -> DataFrame:
+    """What must hold of an unscaled clustering: rows, rows that another centre is nearer to, and centres out of order."""
+    centres = sorted(tuple(float(x) for x in c) for c in model.stages[-1].clusterCenters())
+    away = [sum(((F.col(f) - x) ** 2 for f, x in zip(features, centre)), F.lit(0.0)) for centre in centres]
+    own = F.get(F.array(*away), F.col("cluster"))
+    wrong = own > F.least(*away) + 1e-9 * (1 + own)
+    return clustered.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(wrong).alias("misplaced"), F.count_distinct("cluster").alias("clusters")
     )
-    return profile.join(sample, "cluster", "left").orderBy("cluster")

@@ -81,7 +81,7 @@ def dp_artist_stats(
     )
 
 
-def k_anonymity(
+def anonymous_runs(
     df: DataFrame,
     k: int = S.K_ANONYMITY,
     identity: str = "seq",
@@ -91,6 +91,8 @@ def k_anonymity(
 ) -> DataFrame:
     """Sort, cut in runs of k and replace each value by the range of its run; a short last run is dropped.
 
+    This keeps the row's id and is not for release: see :func:`k_anonymity`.
+
     The position comes from the distributed rank; the run number is then an evenly spread shuffle key with k rows
     each, whatever the distribution of the sorted column.
     """
@@ -111,6 +113,11 @@ def k_anonymity(
     )
 
 
+def k_anonymity(df: DataFrame, k: int = S.K_ANONYMITY, identity: str = "seq", **options) -> DataFrame:
+    """The releasable rows: ranges only, shared by at least k rows each, without the id that would tell them apart."""
+    return anonymous_runs(df, k, identity, **options).drop(identity)
+
+
 def k_anonymity_check(anonymised: DataFrame, columns: tuple[str, ...] = S.METRICS) -> DataFrame:
     """Number of classes, smallest class and rows kept."""
     classes = anonymised.groupBy(*columns).agg(F.count(F.lit(1)).alias("size"))

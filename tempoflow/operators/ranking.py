@@ -9,7 +9,7 @@ from tempoflow.session import checkpointed
 
 _LOCAL_BITS = 33  # Fixed value: monotonically_increasing_id keeps the row offset in its low 33 bits.
 BLOCK_ROWS = 1 << 18
-SHARES = 256
+SHARES = 64
 
 
 def global_rank(df: DataFrame, order: list[str], partitions: int | None = None, rank: str = "position") -> DataFrame:
@@ -45,19 +45,18 @@ def chunk_number(rank: Column, size: int) -> Column:
 def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows per key in ``order``, numbered from 1.
 
-    Up to the session's group-limit threshold Spark keeps only n rows per key and task before the shuffle. Beyond it
-    the same is done in two steps over hashed shares of each key.
+    Two steps: each task's rows of a key go to one of a fixed number of shares and are cut to n there, then the shares
+    meet. Up to the session's group-limit threshold Spark also keeps only n rows per key and task before each shuffle. So
+    no task sees more of one key than the shares times n, however many tasks have read it.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        columns = df.columns
-        local = Window.partitionBy(*keys, "_share").orderBy(*order)
-        df = (
-            df.withColumn("_share", F.pmod(F.xxhash64(*columns), F.lit(SHARES)))
-            .withColumn("_local", F.row_number().over(local))
-            .where(F.col("_local") <= n)
-            .select(*columns)
-        )
+    columns = df.columns
+    local = Window.partitionBy(*keys, "_share").orderBy(*order)
+    df = (
+        df.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(SHARES)))
+        .withColumn("_local", F.row_number().over(local))
+        .where(F.col("_local") <= n)
+        .select(*columns)
+    )
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(rank) <= n)
 

@@ -2,9 +2,10 @@
 
 Rows with equal features are one *triple*, so everything below works on distinct triples with their item counts, and
 copies are never compared with each other. Two triples are similar when they share two of three tokens (Jaccard 0.5)
-or all of them (1.0). The similarity relation is kept in factored form: a table of sharing groups plus, per item,
-exact counts and the first few partners. Listing every pair of a group would square the size of its hottest group;
-partners of chosen songs are listed in full by :func:`similar_to`.
+or all of them (1.0). The similarity relation is kept in factored form, complete and linear: tables of keys and triples,
+in which two triples are similar when they share a key, sizes of the sharing groups, and exact partner counts per item.
+The items of a triple come from the item table by its levels. Listing every pair of a group would square the size of its
+hottest group; partners of chosen songs are listed in full by :func:`similar_to`.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from tempoflow import schema as S
 from tempoflow.functions import hashing as H
 from tempoflow.functions.scalars import composite_id, feature_levels, token
-from tempoflow.operators.ranking import first_n
 from tempoflow.session import broadcast_if_small, checkpointed, splittable, spread
 
 LEVELS = ["level_0", "level_1", "level_2"]
@@ -91,9 +91,18 @@ def _per_band(bands: int, rows: int, build) -> Column:
     )
 
 
-def band_keys(signature_col: Column, bands: int, rows: int) -> Column:
-    """One 64-bit bucket key per band."""
-    return H.let(signature_col, lambda minima: _per_band(bands, rows, lambda band, cut: F.xxhash64(band, cut(minima))))
+def band_keys(signature_col: Column, bands: int, rows: int, mode: str = H.FAST) -> Column:
+    """One bucket key per band: 64 bits, or in portable mode the MD5 of the band and its minima as text."""
+
+    def key(minima):
+        def of_band(band, cut):
+            if mode == H.FAST:
+                return F.xxhash64(band, cut(minima))
+            return F.md5(F.concat(band.cast("string"), F.lit("|"), F.array_join(cut(minima).cast("array<string>"), "-")))
+
+        return _per_band(bands, rows, of_band)
+
+    return H.let(signature_col, key)
 
 
 def verified_keys(words: list[Column], bands: int, rows: int, threshold: float) -> Column:
@@ -136,26 +145,23 @@ def with_signature(triple_rows: DataFrame, permutations: int = S.MINHASH_PERMUTA
 # ---- exact similarity -------------------------------------------------------------------------------------------
 
 
-def jaccard_groups(items: DataFrame) -> DataFrame:
-    """Every group of triples that agree in two features: members, and the exact number of item pairs at Jaccard 0.5."""
-    grouped = triples(items).select("items", F.explode(pair_keys()).alias("shared_key"))
-    n = F.col("items").cast("decimal(38,0)")
+def group_pairs(triple_rows: DataFrame) -> DataFrame:
+    """Per sharing key of triples with item counts: members, and the item pairs of different triples, in decimals to the end."""
+    grouped = triple_rows.select("items", F.explode(pair_keys()).alias("shared_key"))
+    n = F.col("items").cast("decimal(19,0)")
+    total = F.col("items").cast("decimal(19,0)")
     return (
         grouped.groupBy("shared_key")
-        .agg(
-            F.count(F.lit(1)).alias("triples"),
-            F.sum("items").alias("items"),
-            F.sum((n * n).cast("decimal(38,0)")).cast("double").alias("_squares"),
-        )
-        .select(
-            "shared_key",
-            "triples",
-            "items",
-            ((F.col("items").cast("double") * F.col("items").cast("double") - F.col("_squares")) / 2).alias("half_pairs"),
-        )
+        .agg(F.count(F.lit(1)).alias("triples"), F.sum("items").alias("items"), F.sum(n * n).alias("_squares"))
+        .select("shared_key", "triples", "items", ((total * total - F.col("_squares")).cast("decimal(38,0)") / 2).cast("double").alias("half_pairs"))
     )
 
 
+def jaccard_groups(items: DataFrame) -> DataFrame:
+    """Every group of triples that agree in two features: members, and the exact number of item pairs at Jaccard 0.5."""
+    return group_pairs(triples(items))
+
+
 def similar_counts(items: DataFrame) -> DataFrame:
     """Per item the exact number of partners at Jaccard 1 and at Jaccard 0.5, without forming a pair."""
     distinct = checkpointed(triples(items))
@@ -174,82 +180,25 @@ def similar_counts(items: DataFrame) -> DataFrame:
     return items.join(splittable(per_triple, *LEVELS), LEVELS).select("item", "identical", "half_shared")
 
 
-# ---- first partners ---------------------------------------------------------------------------------------------
-
-
-def _members(items: DataFrame, partners: int) -> DataFrame:
-    """Distinct triples with their first items, one more than the partners asked for."""
-    heads = first_n(items, LEVELS, [F.col("item")], partners + 1)
-    listed = heads.groupBy(*LEVELS).agg(F.array_sort(F.collect_list("item")).alias("members"))
-    return checkpointed(spread(listed, *LEVELS))
+# ---- the similarity relation as keys ----------------------------------------------------------------------------
 
 
-def _first_partners(items: DataFrame, keyed: DataFrame, partners: int) -> DataFrame:
-    """Per item its first partners in item order, where partners are items whose triples share a key.
+def song_items(df: DataFrame) -> DataFrame:
+    """Song ids with their levels, the newest row of each song only: re-sent copies are not partners of each other."""
+    return item_levels(latest_per_song(df), "song_id")
 
-    ``keyed`` holds distinct triples with their first items and their keys. The first partners+1 items of a key
-    include the first partners of every item of that key, and they sit in its first partners+1 triples. So triples,
-    keys and items only exchange lists of that fixed length, and a hot key meets its triples as a single row. Keys of
-    a single triple (most LSH buckets) add nothing to the triple's own items and are dropped before that join.
-    """
-    width = partners + 1
-
-    def first_items(lists: Column) -> Column:
-        return F.slice(F.array_sort(F.array_distinct(F.flatten(lists))), 1, width)
-
-    def with_levels(members: Column) -> Column:
-        return F.transform(members, lambda m: F.struct(m.alias("item"), *LEVELS))
-
-    by_key = keyed.select(*LEVELS, F.get("members", F.lit(0)).alias("first"), "members", F.explode("keys").alias("key"))
-    shared = (
-        first_n(by_key, ["key"], [F.col("first")], width)
-        .select("key", with_levels(F.col("members")).alias("members"))
-        .groupBy("key")
-        .agg(F.collect_list("members").alias("lists"))
-        .where(F.size("lists") > 1)
-        .select("key", first_items(F.col("lists")).alias("others"))
-    )
-    pairs = by_key.select(*LEVELS, "key").join(splittable(shared, "key"), "key")
-    found = pairs.groupBy(*LEVELS).agg(F.collect_list("others").alias("lists"))
-    own = F.array(with_levels(F.col("members")))
-    merged = keyed.select(*LEVELS, "members").join(found, LEVELS, "left").select(
-        *LEVELS, first_items(F.concat(own, F.coalesce("lists", F.slice(own, 1, 0)))).alias("similar")
-    )
-    others = F.slice(F.filter("similar", lambda m: m["item"] != F.col("item")), 1, partners)
-    return (
-        items.join(splittable(merged, *LEVELS), LEVELS)
-        .select("item", *LEVELS, F.posexplode(others).alias("_pos", "_other"))
-        .select(
-            "item",
-            (F.col("_pos") + 1).alias("place"),
-            F.col("_other.item").alias("similar_item"),
-            jaccard(shared_tokens("", "_other.")).alias("jaccard"),
-        )
-    )
 
+def jaccard_keys(items: DataFrame) -> DataFrame:
+    """Key and triple: two triples have Jaccard 0.5 or more exactly when they share a key. Three rows per triple."""
+    return triples(items).select(F.explode(pair_keys()).alias("key"), *LEVELS, "items")
 
-def similar_first(items: DataFrame, partners: int = 3) -> DataFrame:
-    """The first partners of every item with Jaccard at least 0.5."""
-    keyed = _members(items, partners).select(*LEVELS, "members", pair_keys().alias("keys"))
-    return _first_partners(items, keyed, partners)
 
-
-def lsh_candidates_first(
-    items: DataFrame, threshold: float = 0.5, partners: int = 3, mode: str = H.FAST
-) -> DataFrame:
-    """The first partners of every item that share an LSH bucket, unverified."""
+def lsh_verified_keys(items: DataFrame, threshold: float = 0.5, mode: str = H.FAST) -> DataFrame:
+    """Key and triple: two triples share a key exactly when they meet in an LSH bucket and reach the threshold."""
     bands, rows = BANDING[threshold]
-    signed = with_signature(_members(items, partners), bands * rows, mode)
-    keys = band_keys(F.col("signature"), bands, rows)
-    return _first_partners(items, checkpointed(signed.select(*LEVELS, "members", keys.alias("keys"))), partners)
-
-
-def lsh_verified_first(items: DataFrame, threshold: float = 0.5, partners: int = 3, mode: str = H.FAST) -> DataFrame:
-    """The first partners of every item that share an LSH bucket and reach the Jaccard threshold."""
-    bands, rows = BANDING[threshold]
-    signed = with_signature(_members(items, partners), bands * rows, mode)
+    signed = with_signature(checkpointed(spread(triples(items), *LEVELS)), bands * rows, mode)
     keys = verified_keys([F.col(f"words_{axis}") for axis in range(3)], bands, rows, threshold)
-    return _first_partners(items, checkpointed(signed.select(*LEVELS, "members", keys.alias("keys"))), partners)
+    return signed.select(F.explode(keys).alias("key"), *LEVELS, "items")
 
 
 # ---- index and point queries ------------------------------------------------------------------------------------
@@ -265,17 +214,14 @@ def lsh_index(items: DataFrame, threshold: float = 0.5, mode: str = H.FAST) -> D
     """The LSH index as a table: bucket key and triple. Linear in the number of distinct triples."""
     bands, rows = BANDING[threshold]
     signed = minhash_signatures(items, bands * rows, mode)
-    return signed.select(*LEVELS, "items", F.posexplode_outer(band_keys(F.col("signature"), bands, rows)).alias("band", "bucket"))
+    return signed.select(*LEVELS, "items", F.posexplode_outer(band_keys(F.col("signature"), bands, rows, mode)).alias("band", "bucket"))
 
 
-def lsh_bucket_sizes(items: DataFrame, threshold: float = 0.5, mode: str = H.FAST) -> DataFrame:
-    """Triples and items per bucket: where candidates would pile up."""
-    return (
-        lsh_index(items, threshold, mode)
-        .groupBy("band", "bucket")
-        .agg(F.count(F.lit(1)).alias("triples"), F.sum("items").alias("items"))
-        .drop("bucket")
-    )
+def lsh_candidates(items: DataFrame, threshold: float = 0.5, mode: str = H.FAST) -> DataFrame:
+    """The candidate relation: the buckets of the index in which two or more items meet, with all of their triples."""
+    index = lsh_index(items, threshold, mode)
+    met = index.groupBy("band", "bucket").agg(F.sum("items").alias("met")).where(F.col("met") > 1).drop("met")
+    return index.join(splittable(met, "band", "bucket"), ["band", "bucket"], "left_semi")
 
 
 def similar_to(

@@ -62,7 +62,7 @@ def masked_features(requests: DataFrame) -> list[str]:
 def drop_forgotten(df: DataFrame, requests: DataFrame, since_request: bool = False) -> DataFrame:
     """Rows of neither a forgotten track nor a forgotten artist.
 
-    With ``since_request`` only rows from the request time onwards are dropped, which is what a stream consumer does.
+    With ``since_request`` only rows from the request time onwards are dropped: a history as it was lawful at each time.
     The request sides are broadcast while measured small; otherwise the anti joins shuffle and adaptive execution
     splits a hot track or artist.
     """
@@ -75,9 +75,21 @@ def drop_forgotten(df: DataFrame, requests: DataFrame, since_request: bool = Fal
     return df
 
 
+def mask_since(df: DataFrame, requests: DataFrame) -> DataFrame:
+    """Null out each masked feature in the rows from its first request onwards."""
+    first = accepted(requests).where(F.col("type") == "feature").groupBy("item").agg(F.unix_micros(F.min("timestamp")).alias("since"))
+    since = {row["item"]: row["since"] for row in first.collect()}  # at most as many as there are maskable features
+    later = lambda name: F.unix_micros("timestamp") >= F.lit(since[name])
+    return df.select(*[F.when(later(c), F.lit(None)).otherwise(F.col(c)).alias(c) if c in since else F.col(c) for c in df.columns])
+
+
 def unlearn(df: DataFrame, requests: DataFrame, since_request: bool = False) -> DataFrame:
-    """Drop what is forgotten and null what is masked; all other fields pass unchanged."""
-    return mask_features(drop_forgotten(df, requests, since_request), masked_features(requests))
+    """Drop what is forgotten and null what is masked; all other fields pass unchanged.
+
+    With ``since_request`` both act on rows from the request time onwards only.
+    """
+    kept = drop_forgotten(df, requests, since_request)
+    return mask_since(kept, requests) if since_request else mask_features(kept, masked_features(requests))
 
 
 def active_tracks(df: DataFrame, requests: DataFrame, order: str = "seq", n: int = S.WINDOW_ARRIVALS) -> DataFrame:
@@ -148,24 +160,20 @@ def verify_tracks(df: DataFrame, processed: DataFrame, requests: DataFrame) -> D
     )
 
 
-def still_forgotten(df: DataFrame, requests: DataFrame) -> DataFrame:
-    """Stored rows that belong to a forgotten track or artist."""
-    tracks = broadcast_if_small(forgotten(requests, "track").select("forgotten_item"))
-    artists = broadcast_if_small(forgotten(requests, "artist").select("forgotten_item"))
-    by_track = df.join(tracks, F.col("name") == F.col("forgotten_item"), "left_semi")
-    rest = df.join(tracks, F.col("name") == F.col("forgotten_item"), "left_anti")
-    return by_track.unionByName(rest.join(artists, F.col("artist") == F.col("forgotten_item"), "left_semi"))
-
-
 def residue(stored: DataFrame, requests: DataFrame) -> DataFrame:
-    """Rows of forgotten items in stored data, before and after a purge; the second number must be 0."""
-    slim = stored.select("name", "artist")
-
-    def rows(df: DataFrame) -> Column:
-        return df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    """Rows of forgotten items in stored data, before and after a purge; the second number must be 0.
 
-    return slim.agg(F.count(F.lit(1)).alias("stored_rows")).select(
-        "stored_rows",
-        rows(still_forgotten(slim, requests)).alias("residue_before"),
-        rows(still_forgotten(drop_forgotten(slim, requests), requests)).alias("residue_after"),
+    One pass over the stored rows: both request tables are joined as flags, and a purge keeps the rows without one.
+    """
+    flagged = stored.select("name", "artist")
+    for kind, column in (("track", "name"), ("artist", "artist")):
+        items = splittable(forgotten(requests, kind).select("forgotten_item").distinct(), "forgotten_item")
+        gone = broadcast_if_small(items).withColumn(f"_{kind}", F.lit(True))
+        flagged = flagged.join(gone, F.col(column) == F.col("forgotten_item"), "left").drop("forgotten_item")
+    stale = F.coalesce("_track", F.lit(False)) | F.coalesce("_artist", F.lit(False))
+    purged = ~F.coalesce("_track", F.lit(False)) & ~F.coalesce("_artist", F.lit(False))
+    return flagged.agg(
+        F.count(F.lit(1)).alias("stored_rows"),
+        F.count_if(stale).alias("residue_before"),
+        F.count_if(purged & stale).alias("residue_after"),
     )

@@ -95,6 +95,10 @@ def _items(operator: Callable[..., DataFrame], **options) -> Callable[[DataFrame
     return lambda df: operator(similarity.item_levels(df), **options)
 
 
+def _songs(operator: Callable[..., DataFrame], **options) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: operator(similarity.song_items(df), **options)
+
+
 def _similar_to(df: DataFrame) -> DataFrame:
     items = similarity.item_levels(df)
     return similarity.similar_to(items.orderBy("item").limit(2), items, mode=H.PORTABLE)
@@ -115,20 +119,64 @@ def _vector(df: DataFrame) -> DataFrame:
     return rounded(vector.select("seq", *[F.get("features", F.lit(i)).alias(f"f{i}") for i in range(3)]), 9)
 
 
-def _with_requests(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: operator(tables.tracks(spark, sf_dir), V.forget_requests(spark, sf_dir))
+def _kmeans_check(df: DataFrame) -> DataFrame:
+    model = clustering.fit(df)
+    return clustering.distance_check(clustering.assign(df, model), model)
+
+
+def _cluster_check(df: DataFrame) -> DataFrame:
+    """Rows by cluster profile and by membership, and distinct names over all clusters."""
+    clustered = clustering.kmeans_clusters(df)
+    profile = clustering.cluster_profile(clustered).agg(F.sum("songs_in_cluster").alias("n")).scalar()
+    members = clustering.cluster_members(clustered)
+    return members.agg(F.sum("songs").alias("member_rows"), F.count_distinct("name").alias("names")).select(
+        profile.alias("profile_rows"), "member_rows", "names"
+    )
+
+
+def _within(estimates: DataFrame, column: str, df: DataFrame, bound: float) -> DataFrame:
+    """The exact number of names, and whether the estimate is off by less than ``bound`` times it."""
+    exact = df.agg(F.count_distinct("name").alias("n")).scalar()
+    return estimates.select(exact.alias("exact_count"), (F.abs(F.col(column) - exact) <= exact * bound).alias("within_bound"))
+
+
+def _hll_check(df: DataFrame) -> DataFrame:
+    exact = df.groupBy("artist").agg(F.count_distinct("name").alias("exact_count"))
+    close = lambda c: F.abs(F.col(c) - F.col("exact_count")) <= F.greatest(F.lit(2.0), F.col("exact_count") * 0.2)
+    joined = distinct.native_estimate(df, group=("artist",)).join(exact, "artist")
+    return joined.select("artist", "exact_count", (close("approx_count") & close("hll_count")).alias("within_bound"))
+
+
+def _ml_lsh_check(df: DataFrame) -> DataFrame:
+    """Of the neighbours that Spark ML returns: how many, how many at distance 0, how many whose distance is not the exact one."""
+    items = similarity.item_levels(df)
+    probe = items.orderBy("item").limit(1).select(*[F.col(c).alias(f"own_{c}") for c in similarity.LEVELS])
+    found = similarity.native_neighbours(items, items.orderBy("item").limit(1)).join(F.broadcast(probe))
+    exact = F.lit(1.0) - similarity.jaccard(similarity.shared_tokens("own_", ""))
+    return found.agg(
+        F.count_if(F.col("distance") == 0).alias("identical"), F.count_if(F.abs(F.col("distance") - exact) > 1e-9).alias("wrong")
+    )
+
+
+def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third message is cut short: the texts that the decoder refuses, and how many messages it takes."""
+    events = tables.table(spark, sf_dir, "events")
+    cut = F.when(F.col("event_id") % 3 == 0, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    good, bad = codec.decode_with_rejects(events.select(cut.alias("value")), _props_schema())
+    decoded = good.agg(F.lit("decoded").alias("value"), F.count(F.lit(1)).alias("messages"))
+    return bad.groupBy("value").agg(F.count(F.lit(1)).alias("messages")).unionByName(decoded)
 
 
-def _bloom_members(df: DataFrame, above: int = S.POPULAR_ABOVE) -> DataFrame:
-    return df.where(scalars.above("popularity", above))
+def _with_requests(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(tables.tracks(spark, sf_dir), V.forget_requests(spark, sf_dir))
 
 
-def _bloom_words(df: DataFrame, above: int = S.POPULAR_ABOVE) -> DataFrame:
-    return membership.build(_bloom_members(df, above), mode=H.PORTABLE)
+def _bloom_words(df: DataFrame) -> DataFrame:
+    return membership.build(df.where(scalars.above("popularity", S.POPULAR_ABOVE)), mode=H.PORTABLE)
 
 
-# Few tracks stay below the usual threshold, so the probing queries use a high one to leave strangers to test.
-_RARE = 98
+# Nearly every track is popular at some time, so the probing queries take members by name, to leave strangers to test.
+_MARKED = "name LIKE '%7'"
 
 
 def _record_queries() -> dict[str, Query]:
@@ -164,7 +212,7 @@ def _record_queries() -> dict[str, Query]:
             _on(t, lambda df: df.select("seq", scalars.format_time(scalars.parse_time(scalars.format_time(F.col("timestamp")))).alias("timestamp"))),
             rows(f"SELECT seq, {Q.TIME} AS timestamp FROM tracks"),
         ),
-        "dedup_emissions": Query(_on(t, lambda df: timed(stats.dedup_emissions(df).select("name", "artist", "timestamp"))), f"WITH {view.strip()}\nSELECT name, artist, {Q.TIME} AS timestamp FROM (SELECT DISTINCT name, artist, timestamp FROM tracks)"),
+        "dedup_emissions": Query(_on(t, lambda df: timed(stats.dedup_emissions(df.unionByName(df)).select("name", "artist", "timestamp"))), f"WITH {view.strip()}\nSELECT name, artist, {Q.TIME} AS timestamp FROM (SELECT DISTINCT name, artist, timestamp FROM tracks)"),
     }
 
 
@@ -196,8 +244,8 @@ def _stats_queries(suffix: str, source: View, view: str, has_seq: bool) -> dict[
         "fm_error": Query(on(lambda df: rounded(distinct.error(df, mode=H.PORTABLE))), rows(Q.FM_ERROR, Q.FM_ZEROS)),
         "fm_fast": Query(on(lambda df: distinct.estimate(distinct.registers(df, mode=H.FAST)))),
         "hll_estimate": Query(on(lambda df: distinct.native_estimate(df, group=("artist",)))),
-        "bloom_build": Query(on(_bloom_words), rows(Q.BLOOM_WORDS, Q.bloom(80))),
-        "bloom_fpr": Query(on(lambda df: membership.quality(df, _bloom_members(df, _RARE), mode=H.PORTABLE)), rows(Q.BLOOM_FPR, Q.bloom(_RARE))),
+        "bloom_build": Query(on(_bloom_words), rows(Q.BLOOM_WORDS, Q.bloom())),
+        "bloom_fpr": Query(on(lambda df: membership.quality(df, df.where(_MARKED), mode=H.PORTABLE)), rows(Q.BLOOM_FPR, Q.bloom(_MARKED))),
         "dp_stats": Query(on(lambda df: rounded(privacy.dp_stats(df, uniform=privacy.hashed_uniform(7)))), rows(Q.DP_STATS)),
         "dp_artist_stats": Query(
             on(lambda df: rounded(privacy.dp_artist_stats(df, uniform=privacy.hashed_uniform(7)))),
@@ -208,17 +256,24 @@ def _stats_queries(suffix: str, source: View, view: str, has_seq: bool) -> dict[
             on(lambda df: _signature_digest(df.withColumn("seq", F.lit(0)))), rows(Q.MINHASH, Q.levels(None), Q.signatures(S.MINHASH_PERMUTATIONS))
         ),
         "lsh_index": Query(
-            on(lambda df: similarity.lsh_bucket_sizes(df.select(*scalars.feature_levels()), mode=H.PORTABLE)),
+            on(lambda df: similarity.lsh_index(df.select(*scalars.feature_levels()), mode=H.PORTABLE)),
             rows(Q.LSH_INDEX, Q.levels(None), Q.banded()),
         ),
         "cluster_profile": Query(on(lambda df: clustering.cluster_profile(clustering.kmeans_clusters(df)))),
+        "cluster_members": Query(on(lambda df: clustering.cluster_members(clustering.kmeans_clusters(df)))),
+        "kmeans_check": Query(on(_kmeans_check), rows(Q.KMEANS_CHECK)),
+        "cluster_check": Query(on(_cluster_check), rows(Q.CLUSTER_CHECK)),
+        "fm_fast_check": Query(
+            on(lambda df: _within(distinct.estimate(distinct.registers(df, mode=H.FAST)), "estimate", df, 1.0)), rows(Q.COUNT_CHECK)
+        ),
+        "hll_check": Query(on(_hll_check), rows(Q.HLL_CHECK)),
     }
     if has_seq:
         found |= {
             "trending_top5": Query(on(stats.trending), rows(Q.TRENDING)),
             "bloom_probe": Query(
-                on(lambda df: membership.probe(df, _bloom_words(df, _RARE), mode=H.PORTABLE).select("seq", "name")),
-                rows(Q.BLOOM_PROBE, Q.bloom(_RARE)),
+                on(lambda df: membership.probe(df, membership.build(df.where(_MARKED), mode=H.PORTABLE), mode=H.PORTABLE).select("seq", "name")),
+                rows(Q.BLOOM_PROBE, Q.bloom(_MARKED)),
             ),
             "reservoir_sample": Query(on(_sample), rows(Q.RESERVOIR)),
             "window_ones_exact": Query(on(lastn.window_ones), rows(Q.WINDOW_ONES, Q.BITS)),
@@ -229,6 +284,7 @@ def _stats_queries(suffix: str, source: View, view: str, has_seq: bool) -> dict[
                 rows(Q.DGIM_TIMELINE_SELECT, Q.BITS, Q.DGIM_TIMELINE),
             ),
             "k_anonymity": Query(on(privacy.k_anonymity), rows("SELECT * FROM anonymous", Q.K_ANONYMITY)),
+            "k_anonymity_7": Query(on(lambda df: privacy.k_anonymity(df, 7)), rows("SELECT * FROM anonymous", Q.k_anonymity(7))),
             "k_anonymity_check": Query(
                 on(lambda df: privacy.k_anonymity_check(privacy.k_anonymity(df))), rows(Q.K_ANONYMITY_CHECK, Q.K_ANONYMITY)
             ),
@@ -250,7 +306,7 @@ def _track_queries() -> dict[str, Query]:
             rows(f"SELECT seq, {Q.TRAILING} AS trailing_zeros FROM (SELECT seq, {Q.word('name', '0')} AS w FROM tracks)"),
         ),
         "fm_merge": Query(_fm_merge, Q.FM_MERGE),
-        "bloom_positions": Query(_on(t, lambda df: membership.set_positions(_bloom_words(df))), rows(Q.BLOOM_BITS, Q.bloom(80))),
+        "bloom_positions": Query(_on(t, lambda df: membership.set_positions(_bloom_words(df))), rows(Q.BLOOM_BITS, Q.bloom())),
         "dgim_buckets": Query(
             _on(t, lambda df: lastn.dgim_buckets(df, scalars.signal_bits()["energy"])), rows(Q.DGIM_BUCKETS, Q.BITS, Q.dgim(key))
         ),
@@ -258,21 +314,30 @@ def _track_queries() -> dict[str, Query]:
         "latest_tracks": Query(_on(t, _latest), rows(Q.LATEST)),
         "jaccard_pair_totals": Query(_on(t, _pair_totals), rows(Q.PAIR_TOTALS, Q.levels(), Q.PAIRS)),
         "similar_counts": Query(_on(t, _items(similarity.similar_counts)), rows(Q.SIMILAR_COUNTS, Q.levels(), Q.PAIRS)),
-        "similar_first": Query(_on(t, _items(similarity.similar_first)), rows(Q.SIMILAR_FIRST, Q.levels(), Q.PAIRS)),
+        "song_levels": Query(_on(t, lambda df: similarity.song_items(df).withColumnRenamed("item", "song_id")), rows(Q.SONG_LEVELS, Q.SONGS, Q.song_levels())),
+        "jaccard_keys": Query(_on(t, _songs(similarity.jaccard_keys)), rows(Q.JACCARD_KEYS, Q.SONGS, Q.song_levels())),
         "lsh_candidates": Query(
-            _on(t, _items(similarity.lsh_candidates_first, mode=H.PORTABLE)),
-            rows(Q.SIMILAR_FIRST, Q.levels(), Q.banded(), Q.CANDIDATES),
+            _on(t, _songs(similarity.lsh_candidates, mode=H.PORTABLE)), rows(Q.LSH_CANDIDATES, Q.SONGS, Q.song_levels(), Q.banded())
         ),
         "lsh_verified": Query(
-            _on(t, _items(similarity.lsh_verified_first, mode=H.PORTABLE)),
-            rows(Q.VERIFIED_FIRST, Q.levels(), Q.banded(), Q.CANDIDATES, Q.VERIFIED),
+            _on(t, _songs(similarity.lsh_verified_keys, mode=H.PORTABLE)),
+            rows(Q.VERIFIED_KEYS, Q.SONGS, Q.song_levels(), Q.signatures(125), Q.SILENT),
+        ),
+        "lsh_candidates_all": Query(
+            _on(t, _items(similarity.lsh_candidates, mode=H.PORTABLE)), rows(Q.LSH_CANDIDATES, Q.levels(), Q.banded())
+        ),
+        "lsh_verified_all": Query(
+            _on(t, _items(similarity.lsh_verified_keys, mode=H.PORTABLE)),
+            rows(Q.VERIFIED_KEYS, Q.levels(), Q.signatures(125), Q.SILENT),
         ),
         "lsh_strict": Query(
-            _on(t, _items(similarity.lsh_candidates_first, threshold=0.7, mode=H.PORTABLE)),
-            rows(Q.SIMILAR_FIRST, Q.levels(), Q.banded(14, 9), Q.CANDIDATES),
+            _on(t, _items(similarity.lsh_candidates, threshold=0.7, mode=H.PORTABLE)),
+            rows(Q.LSH_CANDIDATES, Q.levels(), Q.banded(14, 9)),
         ),
         "similar_to": Query(_on(t, _similar_to), rows(Q.SIMILAR_TO, Q.levels(), Q.banded(), Q.CANDIDATES)),
         "ml_lsh_neighbours": Query(_on(t, _native_neighbours)),
+        "ml_lsh_check": Query(_on(t, _ml_lsh_check), "SELECT 1::BIGINT AS identical, 0::BIGINT AS wrong"),
+        "json_rejects": Query(_rejects, Q.REJECTS),
         "windowed_artist_stats": Query(
             _on(t, lambda df: rounded(timed(stats.windowed_stats(df), "window_start"))), rows(Q.TUMBLING)
         ),
@@ -299,7 +364,7 @@ def _unlearning_queries() -> dict[str, Query]:
         "forget_filter": Query(_with_requests(lambda df, r: unlearning.drop_forgotten(df, r).select("seq", "name", "artist")), rows(Q.FORGET_FILTER)),
         "mask_features": Query(_on(tables.tracks, lambda df: shown(privacy.mask_features(df, ["danceability", "tempo"]))), Q.over(V.TRACKS, select=Q.MASKED)),
         "unlearn_apply": Query(_with_requests(lambda df, r: shown(unlearning.unlearn(df, r))), rows(Q.UNLEARN_APPLY)),
-        "unlearn_since_request": Query(_with_requests(lambda df, r: shown(unlearning.unlearn(df, r, since_request=True))), rows(Q.UNLEARN_STREAMED)),
+        "unlearn_since_request": Query(_with_requests(lambda df, r: shown(unlearning.unlearn(df, r, since_request=True))), rows(Q.UNLEARN_SINCE)),
         "active_tracks": Query(_with_requests(lambda df, r: shown(unlearning.active_tracks(df, r))), rows(Q.ACTIVE_TRACKS)),
         "audit_summary": Query(
             lambda s, d: timed(unlearning.audit_summary(V.forget_requests(s, d)), "first_request", "last_request"), rows(Q.AUDIT)
@@ -359,21 +424,29 @@ def _stream_unlearn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(table.all(spark))
 
 
-def _stream_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The micro-batch analytics over the whole table; the trending report of its last epoch."""
-    path = stage_path(spark, "stream")
-    finish(epochs.start(_track_stream(spark, sf_dir), jobs.batch_analytics(path), f"{path}/checkpoint", trigger=AVAILABLE_NOW))
-    trending = spark.read.parquet(f"{path}/trending")
-    return trending.where(F.col("epoch") == trending.agg(F.max("epoch")).scalar()).drop("epoch")
+def _analytics_report(name: str, combine: Callable[[DataFrame], DataFrame]):
+    """One report of the micro-batch analytics over the whole table, combined over all epochs, however the rows were cut."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = stage_path(spark, "stream")
+        finish(epochs.start(_track_stream(spark, sf_dir), jobs.batch_analytics(path), f"{path}/checkpoint", trigger=AVAILABLE_NOW))
+        return combine(spark.read.parquet(f"{path}/{name}").drop("epoch"))
+
+    return run
 
-def _stream_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The micro-batch filters over the whole table; the private averages of its last epoch."""
-    path = stage_path(spark, "stream")
-    handler = jobs.batch_filters(path, uniform=privacy.hashed_uniform(7), sample_key=sampling.hashed_key(), mode=H.PORTABLE)
-    finish(epochs.start(_track_stream(spark, sf_dir), handler, f"{path}/checkpoint", trigger=AVAILABLE_NOW))
-    private = spark.read.parquet(f"{path}/private_stats")
-    return rounded(private.where(F.col("epoch") == private.agg(F.max("epoch")).scalar()).drop("epoch"))
+
+def _filters_report(name: str):
+    """What the micro-batch filters carry from epoch to epoch, after the last one."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = stage_path(spark, "stream")
+        handler = jobs.batch_filters(path, uniform=privacy.hashed_uniform(7), sample_key=sampling.hashed_key(), mode=H.PORTABLE)
+        finish(epochs.start(_track_stream(spark, sf_dir), handler, f"{path}/checkpoint", trigger=AVAILABLE_NOW))
+        stored = spark.read.parquet(f"{path}/{name}")
+        rows = stored.where(F.col("epoch") == stored.agg(F.max("epoch")).scalar()).drop("epoch", "slot", sampling.KEY)
+        return rows.withColumn("popularity", F.col("popularity").cast("double")) if name == "sample" else rows
+
+    return run
 
 
 def _wire(stream: DataFrame) -> DataFrame:
@@ -383,7 +456,8 @@ def _wire(stream: DataFrame) -> DataFrame:
 
 def _stream_queries() -> dict[str, Query]:
     rows = lambda text, *ctes: Q.over(V.TRACKS, *ctes, select=text)
-    day_windows = lambda df: stats.windowed_stats(df.withWatermark("timestamp", "1 day"))
+    late = lambda df: df.withWatermark("timestamp", "1 day")
+    sessions = lambda df: stats.session_stats_stream(late(df)).drop("avg_popularity")
     dgim_sql = Q.DGIM_STATS.format(key="a.k AS artist, ")
     return {
         "stream_artist_stats": Query(_snapshot(stats.artist_stats, lambda df: rounded(stats.by_track_count(df))), rows(Q.ARTIST_STATS)),
@@ -392,13 +466,22 @@ def _stream_queries() -> dict[str, Query]:
             _snapshot(lambda df: jobs.distinct_registers(df, H.PORTABLE), lambda df: rounded(distinct.estimate(df))),
             rows(Q.FM_ESTIMATE, Q.FM_ZEROS),
         ),
-        "stream_bloom": Query(_snapshot(lambda df: jobs.popular_bloom(df, mode=H.PORTABLE), lambda df: df), rows(Q.BLOOM_WORDS, Q.bloom(80))),
+        "stream_bloom": Query(_snapshot(lambda df: jobs.popular_bloom(df, mode=H.PORTABLE), lambda df: df), rows(Q.BLOOM_WORDS, Q.bloom())),
         "stream_windowed_stats": Query(
-            _snapshot(day_windows, lambda df: rounded(timed(df, "window_start"))), rows(Q.TUMBLING)
+            _appended(lambda df: stats.windowed_stats(late(df)), lambda df: rounded(timed(df, "window_start"))),
+            rows(Q.closed(Q.TUMBLING, "window_start", "24 HOURS")),
+        ),
+        "stream_sliding_stats": Query(
+            _appended(lambda df: stats.windowed_stats(late(df), "24 hours", "12 hours"), lambda df: rounded(timed(df, "window_start"))),
+            rows(Q.closed(Q.SLIDING, "window_start", "24 HOURS")),
+        ),
+        "stream_session_stats": Query(
+            _appended(sessions, lambda df: timed(df, "session_start")),
+            rows(f"SELECT session_start, artist, track_count FROM ({Q.closed(Q.SESSIONS, 'session_end', '30 MINUTES')})"),
         ),
         "stream_json_decode": Query(_appended(_wire, shown), rows(Q.TRACK_ROWS)),
         "stream_dedup": Query(
-            _appended(jobs.dedup_stream, lambda df: timed(df.select("name", "artist", "timestamp"))),
+            _appended(lambda df: jobs.dedup_stream(df.unionByName(df)), lambda df: timed(df.select("name", "artist", "timestamp"))),
             rows(f"SELECT name, artist, {Q.TIME} AS timestamp FROM (SELECT DISTINCT name, artist, timestamp FROM tracks)"),
         ),
         "stream_reservoir": Query(_stream_reservoir, rows(Q.RESERVOIR)),
@@ -410,9 +493,18 @@ def _stream_queries() -> dict[str, Query]:
                 Q.dgim("artist"),
             ),
         ),
-        "stream_unlearn": Query(_stream_unlearn, rows(Q.UNLEARN_STREAMED, Q.GONE)),
-        "stream_batch_analytics": Query(_stream_analytics, rows(Q.TRENDING)),
-        "stream_batch_filters": Query(_stream_filters, rows(Q.DP_STATS)),
+        "stream_unlearn": Query(_stream_unlearn, rows(Q.UNLEARN_APPLY, Q.GONE)),
+        "stream_batch_analytics": Query(_analytics_report("trending", stats.trending), rows(Q.TRENDING)),
+        "stream_batch_artists": Query(
+            _analytics_report("artist_stats", lambda df: df.groupBy("artist").agg(F.sum("track_count").alias("track_count"))),
+            rows("SELECT artist, count(*) AS track_count FROM tracks GROUP BY artist"),
+        ),
+        "stream_batch_members": Query(
+            _analytics_report("cluster_members", lambda df: df.groupBy("name").agg(F.sum("songs").alias("songs"))),
+            rows("SELECT name, count(*) AS songs FROM tracks GROUP BY name"),
+        ),
+        "stream_batch_filters": Query(_filters_report("bloom"), rows(Q.BLOOM_WORDS, Q.bloom())),
+        "stream_batch_sample": Query(_filters_report("sample"), rows(Q.RESERVOIR)),
     }
 
 

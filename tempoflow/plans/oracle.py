@@ -107,9 +107,9 @@ regs AS (SELECT source, i, max({TRAILING})::DOUBLE AS r FROM hashed GROUP BY sou
 SELECT source, round(avg(r), 6) AS mean_zeros, round(pow(2, avg(r)), 6) AS estimate FROM regs GROUP BY source"""
 
 
-def bloom(threshold: int, bits: int = 1000, hashes: int = 3) -> str:
+def bloom(where: str = "popularity > 80", bits: int = 1000, hashes: int = 3) -> str:
     return f"""
-members AS (SELECT DISTINCT name FROM tracks WHERE popularity > {threshold} AND name IS NOT NULL),
+members AS (SELECT DISTINCT name FROM tracks WHERE {where} AND name IS NOT NULL),
 bits AS (SELECT DISTINCT {word('name')} % {bits} AS p FROM members, range({hashes}) r(i)),
 universe AS (SELECT DISTINCT name FROM tracks WHERE name IS NOT NULL),
 hits AS (
@@ -255,11 +255,15 @@ def _range(column: str) -> str:
     )
 
 
-K_ANONYMITY = f"""
-ranked AS (SELECT *, (row_number() OVER (ORDER BY coalesce(popularity, -1), seq) - 1) // 2 AS chunk FROM tracks),
+def k_anonymity(k: int) -> str:
+    return f"""
+ranked AS (SELECT *, (row_number() OVER (ORDER BY coalesce(popularity, -1), seq) - 1) // {k} AS chunk FROM tracks),
 anonymous AS (
-  SELECT seq, {_range('popularity')}, {_range('danceability')}, {_range('energy')}
-  FROM ranked WINDOW c AS (PARTITION BY chunk) QUALIFY count(*) OVER c >= 2)"""
+  SELECT {_range('popularity')}, {_range('danceability')}, {_range('energy')}
+  FROM ranked WINDOW c AS (PARTITION BY chunk) QUALIFY count(*) OVER c >= {k})"""
+
+
+K_ANONYMITY = k_anonymity(2)
 
 K_ANONYMITY_CHECK = """
 SELECT count(*) AS classes, min(size) AS smallest_class, sum(size)::BIGINT AS rows_kept
@@ -287,7 +291,7 @@ TOKENS = "SELECT item AS seq, '0:' || l0 AS token_0, '1:' || l1 AS token_1, '2:'
 
 JACCARD_GROUPS = "\nUNION ALL\n".join(
     f"""SELECT '{a}{b}|' || l{a} || '|' || l{b} AS shared_key, count(*) AS triples, sum(items)::BIGINT AS items,
-       (sum(items)::DOUBLE * sum(items)::DOUBLE - sum(items * items)::DOUBLE) / 2 AS half_pairs
+       (sum(items)::HUGEINT * sum(items)::HUGEINT - sum(items::HUGEINT * items::HUGEINT))::DOUBLE / 2 AS half_pairs
 FROM tri GROUP BY l{a}, l{b}"""
     for a, b in ((0, 1), (0, 2), (1, 2))
 )
@@ -309,12 +313,6 @@ SIMILAR_COUNTS = """
 SELECT lv.item, count(p.other) FILTER (s = 3) AS identical, count(p.other) FILTER (s = 2) AS half_shared
 FROM lv LEFT JOIN pairs p ON p.item = lv.item GROUP BY lv.item"""
 
-SIMILAR_FIRST = """
-SELECT item, place, other AS similar_item, s::DOUBLE / (6 - s) AS jaccard
-FROM (SELECT item, other, s, (row_number() OVER (PARTITION BY item ORDER BY other))::INTEGER AS place FROM pairs)
-WHERE place <= 3"""
-
-
 def signatures(permutations: int) -> str:
     return f"""
 tok AS (
@@ -342,8 +340,45 @@ buckets AS (
 
 
 LSH_INDEX = """
-SELECT band, count(*) AS triples, sum(items)::BIGINT AS items
-FROM buckets JOIN tri USING (l0, l1, l2) GROUP BY band, bucket"""
+SELECT l0 AS level_0, l1 AS level_1, l2 AS level_2, items, band, md5(bucket) AS bucket FROM buckets JOIN tri USING (l0, l1, l2)"""
+LSH_CANDIDATES = LSH_INDEX + " QUALIFY sum(items) OVER (PARTITION BY bucket) > 1"
+
+SONGS = "songs AS (SELECT * FROM tracks QUALIFY row_number() OVER (PARTITION BY name, artist ORDER BY seq DESC) = 1)"
+
+
+def song_levels() -> str:
+    return levels("name || '-' || artist").replace("FROM tracks)", "FROM songs)")
+
+
+SONG_LEVELS = "SELECT item AS song_id, l0 AS level_0, l1 AS level_1, l2 AS level_2 FROM lv"
+KEYED = "l0 AS level_0, l1 AS level_1, l2 AS level_2, items"
+JACCARD_KEYS = "\nUNION ALL\n".join(
+    f"SELECT '{a}{b}|' || l{a} || '|' || l{b} AS key, {KEYED} FROM tri" for a, b in ((0, 1), (0, 2), (1, 2))
+)
+
+# Per triple and position the three words, to see where the third token wins no minimum of a band of five.
+SILENT = """
+words AS (
+  SELECT l0, l1, l2, items, a.i // 5 AS band, a.h AS h0, b.h AS h1, c.h AS h2 FROM tri
+  JOIN hashed a ON a.token = '0:' || l0
+  JOIN hashed b ON b.token = '1:' || l1 AND b.i = a.i
+  JOIN hashed c ON c.token = '2:' || l2 AND c.i = a.i)"""
+VERIFIED_KEYS = f"SELECT 'all|' || l0 || '|' || l1 || '|' || l2 AS key, {KEYED} FROM tri" + "".join(
+    f"""
+UNION ALL SELECT band || '|{a}{b}|' || l{a} || '|' || l{b} AS key, {KEYED} FROM words
+GROUP BY band, l0, l1, l2, items HAVING bool_and(least(h{a}, h{b}) <= h{3 - a - b})"""
+    for a, b in ((0, 1), (0, 2), (1, 2))
+)
+
+_USABLE = "danceability IS NOT NULL AND energy IS NOT NULL AND tempo IS NOT NULL"
+KMEANS_CHECK = f"SELECT count(*) AS rows, 0::BIGINT AS misplaced, 3::BIGINT AS clusters FROM tracks WHERE {_USABLE}"
+CLUSTER_CHECK = f"""
+SELECT count(*) AS profile_rows, count(*) AS member_rows, count(DISTINCT name) AS names FROM tracks WHERE {_USABLE}"""
+COUNT_CHECK = "SELECT count(DISTINCT name) AS exact_count, true AS within_bound FROM tracks"
+HLL_CHECK = "SELECT artist, count(DISTINCT name) AS exact_count, true AS within_bound FROM tracks GROUP BY artist"
+REJECTS = """
+SELECT substr(props, 1, length(props) - 1) AS value, count(*) AS messages FROM events WHERE event_id % 3 = 0 GROUP BY 1
+UNION ALL SELECT 'decoded', count(*) FROM events WHERE event_id % 3 <> 0"""
 
 CANDIDATES = f"""
 met AS (
@@ -355,9 +390,6 @@ pairs AS (
   JOIN lv b ON b.l0 = m0 AND b.l1 = m1 AND b.l2 = m2
   WHERE a.item <> b.item)"""
 
-VERIFIED = "kept AS (SELECT * FROM pairs WHERE s >= 2)"
-VERIFIED_FIRST = SIMILAR_FIRST.replace("FROM pairs", "FROM kept")
-
 SIMILAR_TO = """
 SELECT item AS probe, other AS similar_item, s::DOUBLE / (6 - s) AS jaccard
 FROM pairs WHERE s >= 2 AND item IN (SELECT item FROM lv ORDER BY item LIMIT 2)"""
@@ -383,7 +415,10 @@ FORGET_FILTER = "SELECT seq, name, artist FROM kept"
 UNLEARNED = f"""
 SELECT seq, name, artist, NULL::DOUBLE AS popularity, danceability, energy, NULL::DOUBLE AS tempo, {TIME} AS timestamp"""
 UNLEARN_APPLY = UNLEARNED + " FROM kept"
-UNLEARN_STREAMED = UNLEARNED + " FROM streamed"
+_MASKED_FROM = "(SELECT min(timestamp) FROM accepted WHERE type = 'feature' AND item = '{}')"
+UNLEARN_SINCE = "SELECT seq, name, artist, danceability, energy, " + TIME + " AS timestamp, " + ", ".join(
+    f"CASE WHEN timestamp >= {_MASKED_FROM.format(c)} THEN NULL ELSE {c}::DOUBLE END AS {c}" for c in ("popularity", "tempo")
+) + " FROM streamed"
 ACTIVE_TRACKS = UNLEARNED + " FROM kept ORDER BY seq DESC LIMIT 100"
 MASKED = f"""
 SELECT seq, name, artist, popularity::DOUBLE AS popularity, NULL::DOUBLE AS danceability, energy, NULL::DOUBLE AS tempo, {TIME} AS timestamp
@@ -441,3 +476,10 @@ FROM (SELECT *, sum(opens) OVER (PARTITION BY artist ORDER BY timestamp, seq ROW
       FROM (SELECT *, CASE WHEN timestamp - lag(timestamp) OVER (PARTITION BY artist ORDER BY timestamp, seq)
                                 <= INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS opens FROM tracks))
 GROUP BY artist, session"""
+
+
+def closed(query: str, column: str, length: str, delay: str = "1 DAY") -> str:
+    """Rows of windows that the watermark has passed when the input ends."""
+    return f"""
+SELECT * FROM ({query.strip()})
+WHERE {column}::TIMESTAMP + INTERVAL {length} <= (SELECT max(timestamp) FROM tracks) - INTERVAL {delay}"""

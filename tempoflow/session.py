@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="tempoflow-")
     if context.getCheckpointDir() is None:
@@ -45,10 +48,32 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of the executors that computed them."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    stored = df.checkpoint(eager=True)
+    for files in _scopes.get():
+        written = stored._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if written.isDefined():
+            files.append(written.get())
+    return stored
+
+
+@contextmanager
+def freed_checkpoints(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`checkpointed` writes inside, at the end: for steps whose results are saved by then."""
+    files: list[str] = []
+    token = _scopes.set((*_scopes.get(), files))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for name in files:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -31,12 +31,16 @@ def read_stream(
 
 
 def stream_table(spark: SparkSession, sf_dir: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
-    """One parquet table of a data folder as a stream."""
+    """One parquet table of a data folder as a stream: a folder of part files, or a single file beside others."""
     schema = tables.table(spark, sf_dir, table).schema
-    options = {"pathGlobFilter": f"{table}.parquet"}
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    options = {}
     if files_per_trigger is not None:
         options["maxFilesPerTrigger"] = str(files_per_trigger)
-    return read_stream(spark, "parquet", options, schema, sf_dir)
+    # a table that is not there is an error here, not a stream without files
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return read_stream(spark, "parquet", options, schema, f"{sf_dir}/{table}.parquet")
+    return read_stream(spark, "parquet", {**options, "pathGlobFilter": f"{table}.parquet"}, schema, sf_dir)
 
 
 def write_topic(messages: DataFrame, servers: str, topic: str) -> None:

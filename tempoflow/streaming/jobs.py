@@ -10,6 +10,7 @@ from tempoflow import schema as S
 from tempoflow.functions import hashing as H
 from tempoflow.functions.scalars import above
 from tempoflow.operators import clustering, distinct, membership, privacy, sampling, similarity, stats
+from tempoflow.session import freed_checkpoints
 from tempoflow.streaming import epochs, stateful
 from tempoflow.streaming.epochs import EpochTable
 
@@ -56,9 +57,12 @@ def dgim_job(stream: DataFrame, path: str, trigger: dict | None = None, **option
 
 
 def unlearn_job(
-    stream: DataFrame, requests, path: str, since_request: bool = True, trigger: dict | None = None
+    stream: DataFrame, requests, path: str, since_request: bool = False, trigger: dict | None = None
 ) -> tuple[StreamingQuery, EpochTable]:
-    """``requests`` is called every epoch and returns the request table as it is then."""
+    """``requests`` is called every epoch and returns the request table as it is then.
+
+    What is forgotten by then is dropped whenever it happened: late and replayed events of a forgotten track do not pass.
+    """
     table = EpochTable(f"{path}/result", stream.schema)
     handler = stateful.unlearn_handler(table, requests, since_request)
     return epochs.start(stream, handler, f"{path}/checkpoint", trigger=trigger), table
@@ -68,6 +72,10 @@ def batch_analytics(path: str, clusters: int = S.CLUSTERS, top: int = 5) -> epoc
     """Per micro-batch: artist statistics, cluster profile (from two rows on) and trending songs, written per epoch."""
 
     def handle(batch: DataFrame, epoch: int) -> None:
+        with freed_checkpoints(batch.sparkSession):
+            report(batch, epoch)
+
+    def report(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
         batch = batch.persist()
@@ -79,7 +87,9 @@ def batch_analytics(path: str, clusters: int = S.CLUSTERS, top: int = 5) -> epoc
             save("trending", stats.trending(batch, top))
             usable = batch.dropna(subset=list(S.FEATURES))
             if usable.limit(2).count() > 1:
-                save("clusters", clustering.cluster_profile(clustering.kmeans_clusters(usable, k=clusters)))
+                clustered = clustering.kmeans_clusters(usable, k=clusters)
+                save("clusters", clustering.cluster_profile(clustered))
+                save("cluster_members", clustering.cluster_members(clustered))
         finally:
             batch.unpersist()
 
@@ -99,6 +109,10 @@ def batch_filters(
 ) -> epochs.Handler:
     """Per micro-batch: Bloom filter and sample carried on, private averages, k-anonymous rows, similarity, top artists."""
     def handle(batch: DataFrame, epoch: int) -> None:
+        with freed_checkpoints(batch.sparkSession):
+            report(batch, epoch)
+
+    def report(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         try:

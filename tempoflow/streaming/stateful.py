@@ -129,7 +129,7 @@ def dgim_handler(table: EpochTable, **options) -> Handler:
     return handle
 
 
-def unlearn_handler(table: EpochTable, requests: Callable[[], DataFrame], since_request: bool = True) -> Handler:
+def unlearn_handler(table: EpochTable, requests: Callable[[], DataFrame], since_request: bool = False) -> Handler:
     """Process each batch under the requests known at that moment: the request table is read again every epoch."""
 
     def handle(batch: DataFrame, epoch: int) -> None:

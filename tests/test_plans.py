@@ -34,8 +34,8 @@ def test_registers_need_one_exchange_and_no_expansion(spark):
 
 def test_last_rows_are_cut_before_the_shuffle(spark):
     text = plan(ranking.last_n(tables.tracks(spark, DATA), ["artist"], ["seq"], 100))
-    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
-    assert text.count("WindowGroupLimit") == 2
+    assert text.rindex("Final") < text.rindex("Exchange") < text.rindex("Partial")
+    assert text.count("WindowGroupLimit") == 4  # per share, then per key, each before and after its shuffle
 
 
 def test_no_window_over_a_single_partition_of_rows(spark):
@@ -115,12 +115,9 @@ def test_hot_item_is_split_in_the_joined_probe(spark, small_skew_limits):
     assert split_joins(found) >= 1
 
 
-def test_hot_triple_is_split_when_partners_are_attached(spark, small_skew_limits):
+def test_hot_triple_is_split_when_counts_are_attached(spark, small_skew_limits):
     level = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id"))
     items = spark.range(0, 60_000, 1, 12).select(F.col("id").alias("item"), *[level.alias(name) for name in similarity.LEVELS])
-    first = similarity.similar_first(items, 1)
-    assert len(first.collect()) == 20_001
-    assert split_joins(first) >= 1
     counts = similarity.similar_counts(items)
     assert counts.agg(F.max("identical")).first()[0] == 20_000
     counts.collect()

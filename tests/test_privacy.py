@@ -11,7 +11,8 @@ def test_k_anonymity_nulls_first_and_short_run_dropped(make_tracks):
     tracks = make_tracks(
         [{"popularity": p, "danceability": d, "energy": 0.5} for p, d in ((30, 0.1), (10, 0.2), (None, 0.3), (20, None), (40, 0.5))]
     )
-    rows = {r["seq"]: r for r in privacy.k_anonymity(tracks, 2).collect()}
+    rows = {r["seq"]: r for r in privacy.anonymous_runs(tracks, 2).collect()}
+    assert privacy.k_anonymity(tracks, 2).columns == ["popularity", "danceability", "energy"]
     assert set(rows) == {2, 1, 3, 0}
     assert rows[2]["popularity"] == rows[1]["popularity"] == "10.00-10.00"
     assert rows[3]["danceability"] == "0.10-0.10"
@@ -61,9 +62,10 @@ def test_kmeans_separates_and_numbers_clusters_by_centre(make_tracks):
         found = clustering.kmeans_clusters(make_tracks(rows[:30]), scale=scale)
         groups = found.groupBy("cluster").agg(F.min("tempo"), F.max("tempo")).collect()
         assert len(groups) == 3 and all(high - low < 1 for _, low, high in groups)
-    profile = clustering.cluster_profile(clustered, samples=2).collect()
+    profile = clustering.cluster_profile(clustered).collect()
     assert [p["songs_in_cluster"] for p in profile] == [10, 10, 10]
-    assert all(len(p["sample_songs"]) == 2 for p in profile)
+    members = clustering.cluster_members(clustered).collect()
+    assert len({(m["cluster"], m["name"]) for m in members}) == len(members) == 30 and all(m["songs"] == 1 for m in members)
 
 
 def test_stats_skip_nulls_and_break_ties(make_tracks):

@@ -23,17 +23,6 @@ def exact(rows):
     return found
 
 
-def first_by_item(pairs, m):
-    per_item = {}
-    for (a, b), score in sorted(pairs.items()):
-        per_item.setdefault(a, []).append((b, score))
-    return {(a, i + 1): bs for a, all_bs in per_item.items() for i, bs in enumerate(all_bs[:m])}
-
-
-def as_dict(frame):
-    return {(r["item"], r["place"]): (r["similar_item"], r["jaccard"]) for r in frame.collect()}
-
-
 def buckets(spark, items, threshold, mode):
     index = L.lsh_index(items, threshold, mode).select(*L.LEVELS, "bucket").collect()
     keys = {}
@@ -52,28 +41,48 @@ def test_counts_and_groups_equal_brute_force(spark):
     assert half == sum(1 for s in pairs.values() if s == 0.5) / 2
 
 
-def test_first_partners_equal_brute_force(spark):
-    rows, items = random_items(spark)
-    for m in (1, 3, 6):
-        assert as_dict(L.similar_first(items, m)) == first_by_item(exact(rows), m)
+def keys_of(frame):
+    keys = {}
+    for r in frame.collect():
+        keys.setdefault((r["level_0"], r["level_1"], r["level_2"]), set()).add(r["key"])
+    return keys
 
 
-def test_lsh_partners_equal_brute_force_over_the_index(spark):
+def test_keys_are_shared_exactly_by_similar_triples(spark):
     rows, items = random_items(spark)
-    triple = {r[0]: r[1:] for r in rows}
+    keys = keys_of(L.jaccard_keys(items))
+    assert all(len(k) == 3 for k in keys.values())
+    for a, b in combinations(keys, 2):
+        assert bool(keys[a] & keys[b]) == (sum(x == y for x, y in zip(a, b)) >= 2)
+    assert sum(r["items"] for r in L.jaccard_keys(items).collect()) == 3 * len(rows)
+
+
+def test_verified_keys_equal_brute_force_over_the_index(spark):
+    _, items = random_items(spark)
     for mode in (H.PORTABLE, H.FAST):
         for threshold in (0.5, 0.7):
-            keys = buckets(spark, items, threshold, mode)
-            met, verified = {}, {}
-            for a, b in combinations(triple, 2):
-                if keys[triple[a]] & keys[triple[b]]:
-                    shared = sum(x == y for x, y in zip(triple[a], triple[b]))
-                    score = shared / (6 - shared)
-                    met[a, b] = met[b, a] = score
-                    if score >= threshold:
-                        verified[a, b] = verified[b, a] = score
-            assert as_dict(L.lsh_candidates_first(items, threshold, 3, mode)) == first_by_item(met, 3)
-            assert as_dict(L.lsh_verified_first(items, threshold, 3, mode)) == first_by_item(verified, 3)
+            met = buckets(spark, items, threshold, mode)
+            keys = keys_of(L.lsh_verified_keys(items, threshold, mode))
+            assert keys.keys() == met.keys()
+            for a, b in combinations(keys, 2):
+                shared = sum(x == y for x, y in zip(a, b))
+                assert bool(keys[a] & keys[b]) == (bool(met[a] & met[b]) and shared / (6 - shared) >= threshold)
+
+
+def test_candidates_are_the_buckets_with_several_items(spark):
+    _, items = random_items(spark)
+    index = L.lsh_index(items).collect()
+    sizes = {}
+    for r in index:
+        sizes[r["band"], r["bucket"]] = sizes.get((r["band"], r["bucket"]), 0) + r["items"]
+    want = sorted(str((r["band"], r["bucket"], *[r[l] for l in L.LEVELS])) for r in index if sizes[r["band"], r["bucket"]] > 1)
+    assert sorted(str((r["band"], r["bucket"], *[r[l] for l in L.LEVELS])) for r in L.lsh_candidates(items).collect()) == want
+
+
+def test_pair_counts_of_huge_groups_keep_their_digits(spark):
+    triples = spark.createDataFrame([(1, 1, 1, 10**9), (1, 1, 2, 1), (1, 1, 3, 1)], "level_0 long, level_1 long, level_2 long, items long")
+    half = {r["shared_key"]: r["half_pairs"] for r in L.group_pairs(triples).collect()}
+    assert half["01|1|1"] == 2 * 10**9 + 1
 
 
 def test_point_query_lists_every_partner(spark):
@@ -88,8 +97,11 @@ def test_point_query_lists_every_partner(spark):
 def test_jaccard_values(spark, make_tracks):
     base = {"danceability": 0.5, "energy": 0.5, "tempo": 100.0}
     tracks = make_tracks([base, base, {**base, "energy": 0.9}, {**base, "energy": 0.1, "tempo": 60.0}])
-    rows = as_dict(L.similar_first(L.item_levels(tracks)))
-    assert rows == {(0, 1): (1, 1.0), (0, 2): (2, 0.5), (1, 1): (0, 1.0), (1, 2): (2, 0.5), (2, 1): (0, 0.5), (2, 2): (1, 0.5)}
+    items = L.item_levels(tracks)
+    found = {(r["probe"], r["similar_item"]): r["jaccard"] for r in L.similar_to(items, items).collect() if r["jaccard"] == 1.0}
+    assert found == {(0, 1): 1.0, (1, 0): 1.0}
+    counts = {r["item"]: (r["identical"], r["half_shared"]) for r in L.similar_counts(items).collect()}
+    assert counts == {0: (1, 1), 1: (1, 1), 2: (0, 2), 3: (0, 0)}
 
 
 def test_missing_features_count_as_zero(make_tracks):
@@ -101,6 +113,7 @@ def test_latest_row_per_song(make_tracks):
     tracks = make_tracks([{"name": "a", "artist": "x", "popularity": p} for p in (1, 2, 3)])
     rows = L.latest_per_song(tracks).collect()
     assert [(r["song_id"], r["popularity"]) for r in rows] == [("a-x", 3)]
+    assert [r["item"] for r in L.song_items(tracks).collect()] == ["a-x"]
 
 
 def test_native_neighbours(spark):

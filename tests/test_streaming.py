@@ -125,6 +125,58 @@ def test_unlearning_sees_requests_made_between_batches(spark, stream, batch, tmp
     assert len(calls) == 4
 
 
+def test_old_events_of_a_forgotten_track_do_not_pass(spark, stream, batch, tmp_path):
+    """The request is known before the stream starts and is younger than all of its events."""
+    requests = unlearning.request(spark, "track", "track_3")
+    query, table = jobs.unlearn_job(stream, lambda: requests, str(tmp_path), trigger=AVAILABLE_NOW)
+    finish(query)
+    assert batch.where("name = 'track_3'").count() > 0
+    assert table.all(spark).where("name = 'track_3'").count() == 0
+
+
+def test_streams_read_tables_stored_as_folders(spark, source, batch, tmp_path):
+    events = tables.table(spark, DATA, "events")
+    folder = str(tmp_path / "data")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    for table in ("customer", "supplier", "region", "orders"):
+        tables.table(spark, DATA, table).coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+    raw = readers.stream_table(spark, folder, "events", files_per_trigger=1)
+    query, table = jobs.snapshot_job(stats.running_total(tables.tracks_from_events(raw)), str(tmp_path / "job"), AVAILABLE_NOW)
+    finish(query)
+    assert table.latest(spark).first()[0] == 1000
+    assert kept_epochs(table, spark) == [1, 2]
+    with pytest.raises(Exception, match="not exist|FileNotFound"):
+        readers.stream_table(spark, str(tmp_path / "nothing"), "events")
+
+
+@pytest.mark.parametrize("name", ["stream_batch_analytics", "stream_batch_artists", "stream_batch_members", "stream_batch_filters", "stream_batch_sample", "stream_unlearn", "stream_dgim"])
+def test_reports_do_not_depend_on_epochs(spark, source, tmp_path, monkeypatch, name):
+    from tempoflow.plans.catalog import catalog
+
+    events = tables.table(spark, DATA, "events")
+    folder = str(tmp_path / "data")
+    for part in range(3):
+        chunk = events.where((F.col("event_id") >= part * 334) & (F.col("event_id") < (part + 1) * 334))
+        chunk.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    for table in ("customer", "supplier", "region"):
+        tables.table(spark, DATA, table).coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+    one_file = readers.stream_table
+    monkeypatch.setattr(readers, "stream_table", lambda s, d, t: one_file(s, d, t, files_per_trigger=1))
+    query = catalog()[name]
+    assert rows(query.run(spark, folder)) == rows(query.run(spark, DATA))
+
+
+def test_epochs_free_their_checkpoints(spark, batch, tmp_path):
+    handler = jobs.batch_filters(str(tmp_path / "out"), sample_key=sampling.hashed_key())
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = len(fs.listStatus(root))
+    for epoch in range(3):
+        handler(batch.where(f"seq % 3 = {epoch}"), epoch)
+        assert len(fs.listStatus(root)) == before
+
+
 def test_dedup_and_windows_on_streams(spark, stream, batch, tmp_path):
     query, path = jobs.append_job(jobs.dedup_stream(stream.unionByName(stream)), str(tmp_path / "dedup"), AVAILABLE_NOW)
     finish(query)

@@ -51,6 +51,12 @@ def test_request_time_is_respected_and_purge_leaves_nothing(spark, tracks):
     assert (row["stored_rows"], row["residue_before"], row["residue_after"]) == (4, 1, 0)
 
 
+def test_masks_begin_with_their_request(spark, tracks):
+    log = requests(spark, ("feature", "popularity"))
+    rows = U.unlearn(tracks, log, since_request=True).orderBy("seq").collect()
+    assert [r["popularity"] for r in rows] == [1, None, None, None, None]
+
+
 def test_large_request_tables_take_the_shuffle_path(spark, tracks, monkeypatch):
     log = requests(spark, ("track", "a"), ("artist", "y"))
     monkeypatch.setattr(U, "broadcast_if_small", lambda df: df)
