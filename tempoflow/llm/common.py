@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.session import shared_dir, shuffle_partitions, stage_path
+from tempoflow.session import shuffle_partitions, spread_if_narrow, stage_path
 
 TEXT_KEY = ("t1", "t2")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of a data folder; one that lies in fewer splits than there are cores is dealt out anew."""
+    return spread_if_narrow(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -32,10 +33,6 @@ def bucketed(df: DataFrame, label: str, *keys: str) -> DataFrame:
     return spark.table(name)
 
 
-def shared(spark: SparkSession) -> str:
-    return shared_dir(spark)
-
-
 def text_key(text: str = "text") -> list:
     """128 bits that stand for a text: equal texts meet, and different ones never do for any practical corpus."""
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(0x51ED270B), F.col(text), F.length(text)).alias("t2")]
