@@ -18,6 +18,7 @@ SAMPLE_ROWS = 4000
 SPAN_WORDS = 25
 ROUNDS = 12
 WORDS_AT_ONCE = 1_000_000
+FEATURE_BYTES = 1_000_000
 UNDETERMINED = "und"
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -210,6 +211,21 @@ def fit(sample: list[tuple[str, str]], rounds: int = ROUNDS) -> Model:
     return model
 
 
+def _scored(model: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Emissions of all words and the number of words of each text; features take some 80 bytes a byte, so they are made in parts."""
+    scores, counts, at = [], [], 0
+    while at < len(texts):
+        end, held = at, 0
+        while end < len(texts) and (end == at or held + len(texts[end]) < FEATURE_BYTES):
+            held += len(texts[end])
+            end += 1
+        words = features(texts[at:end])
+        scores.append(emissions(model, words))
+        counts.append(words.counts)
+        at = end
+    return np.concatenate(scores), np.concatenate(counts)
+
+
 def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
     """Language and score of each text: the share of its words' posterior mass that the best language has."""
     out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
@@ -221,11 +237,11 @@ def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
         while end < len(coded) and (end == at or held + len(coded[end]) < 6 * WORDS_AT_ONCE):
             held += len(coded[end])
             end += 1
-        words = features(coded[at:end])
-        marginal, _ = posteriors(model, emissions(model, words), words.counts)
-        first = np.cumsum(words.counts) - words.counts
-        some = np.flatnonzero(words.counts)
-        shares = np.add.reduceat(marginal.astype(np.float64), first[some], axis=0) / words.counts[some][:, None]
+        scores, counts = _scored(model, coded[at:end])
+        marginal, _ = posteriors(model, scores, counts)
+        first = np.cumsum(counts) - counts
+        some = np.flatnonzero(counts)
+        shares = np.add.reduceat(marginal.astype(np.float64), first[some], axis=0) / counts[some][:, None]
         for i, share in zip(some, shares, strict=True):
             best = int(share.argmax())
             out[usable[at + i]] = (model.languages[best], float(min(1.0, share[best])))
