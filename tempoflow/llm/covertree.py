@@ -210,7 +210,7 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK,
     placed = distinct.select("label", "dim", "embedding").mapInArrow(assign, "label int, dim int, cell long, reach double")
     # groups without pivots have one cell; only the others are measured, at most one row per pivot
     known = placed.groupBy("label", "dim", "cell").agg(F.max("reach").alias("radius"), F.count(F.lit(1)).alias("size"))
-    big = known.where(F.col("size") > block).union(known.where(F.col("cell") > 0)).union(known.where((F.col("cell") == 0) & (F.col("size") <= block) & (F.col("radius") > 0))).distinct()
+    big = known.where((F.col("size") > block) | (F.col("cell") > 0) | (F.col("radius") > 0))
     cells.measure(big.collect(), block)
     second = spark.sparkContext.broadcast(cells)
     reach = math.sqrt(2 - 2 * threshold) + SLACK
