@@ -233,3 +233,20 @@ def test_viterbi_equals_the_full_table_and_decodes(text):
 def test_encode_decodes_to_every_text(docs, corpus):
     got = rows(viterbi.decoded(viterbi.encode(docs)), "doc_id", "text_sha256")
     assert got == sorted(((i, None if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, t in corpus), key=str)
+
+
+def test_matching_statistics_of_every_byte():
+    rng = np.random.default_rng(0)
+    for _ in range(6):
+        texts = [bytes(rng.choice(list(b"ab"), int(rng.integers(1, 40)))) for _ in range(int(rng.integers(1, 7)))]
+        found, at = runlength.matching_statistics(texts), 0
+        places = [(i, k) for i, p in enumerate(texts) for k in range(len(p))]
+        for i, k in places:
+            best = 0
+            for j, l in places:
+                n = 0
+                while (i, k) != (j, l) and k + n < len(texts[i]) and l + n < len(texts[j]) and texts[i][k + n] == texts[j][l + n]:
+                    n += 1
+                best = max(best, n)
+            assert found[at + k] == best
+            at += (k == len(texts[i]) - 1) * (len(texts[i]) + 1)
