@@ -254,6 +254,7 @@ def repeated(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, unit: int
     """
     anchors = anchor_rows(texts, length, gram)
     shared = anchors.groupBy("key").agg(F.sum("places").alias("n")).where("n > 1").select("key")
+    shared = shared.repartition(F.xxhash64("key"))  # moved by a hash, so that adaptive execution may split a hot anchor
     chosen = anchors.join(shared, "key", "left_semi").select(*TEXT_KEY, "first")
     ids = [F.xxhash64("key", "piece").alias("p1"), F.xxhash64(F.lit(11), F.col("piece"), F.col("key")).alias("p2")]
     out = None
