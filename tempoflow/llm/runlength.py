@@ -58,19 +58,20 @@ def suffix_array(symbols: np.ndarray, longest: int) -> np.ndarray:
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """Length to which the suffixes at ``a`` and ``b`` agree, compared sixteen symbols at a time up to ``most``."""
+    """Length to which the suffixes at ``a`` and ``b`` agree, up to ``most``; sixteen symbols of a slice of pairs at a time."""
     padded = np.concatenate((text, -1 - np.arange(16)))
     out = np.zeros(len(a), np.int64)
-    live = np.arange(len(a))
     step = np.arange(16)
-    while len(live) and out[live[0]] < most:
-        x, y = a[live] + out[live], b[live] + out[live]
-        fits = (x < len(text)) & (y < len(text))
-        same = padded[np.minimum(x, len(text))[:, None] + step] == padded[np.minimum(y, len(text))[:, None] + step]
-        same[~fits] = False
-        run = np.where(same.all(axis=1), 16, same.argmin(axis=1))
-        out[live] += run
-        live = live[run == 16]
+    for k in range(0, len(a), 1 << 15):
+        live = np.arange(k, min(len(a), k + (1 << 15)))
+        while len(live) and out[live[0]] < most:
+            x, y = a[live] + out[live], b[live] + out[live]
+            fits = (x < len(text)) & (y < len(text))
+            same = padded[np.minimum(x, len(text))[:, None] + step] == padded[np.minimum(y, len(text))[:, None] + step]
+            same[~fits] = False
+            run = np.where(same.all(axis=1), 16, same.argmin(axis=1))
+            out[live] += run
+            live = live[run == 16]
     return out
 
 
