@@ -34,7 +34,7 @@ def suffix_array(symbols: np.ndarray, longest: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for d in range(depth):
         key = key << width | padded[d : d + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
 
@@ -50,7 +50,7 @@ def suffix_array(symbols: np.ndarray, longest: int) -> np.ndarray:
     while len(slots) and depth < 2 * longest:
         places = order[slots]
         keys = rank[places] * (n + 1) + rank[np.minimum(places + depth, n)] + 1
-        by = np.argsort(keys, kind="stable")
+        by = np.argsort(keys)
         order[slots] = places[by]
         slots = regroup(slots, keys[by])
         depth *= 2
