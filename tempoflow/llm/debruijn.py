@@ -82,7 +82,8 @@ def shared_nodes(places: DataFrame) -> DataFrame:
     sides = [f(c).alias(f"{f.__name__}_{c}") for c in ("into", "out") for f in (F.min, F.max)]
     stats = places.groupBy("node").agg(F.sum("copies").alias("n"), *sides)
     straight = (F.col("min_into") == F.col("max_into")) & (F.col("min_out") == F.col("max_out"))
-    return stats.where("n > 1").select("node", straight.alias("straight"))
+    # moved by a hash, so that adaptive execution may split a hot node in the join with its places
+    return stats.where("n > 1").select("node", straight.alias("straight")).repartition(F.xxhash64("node"))
 
 
 SPANS = "t1 long, t2 long, copies long, first long, last long, h1 long, h2 long"
@@ -150,7 +151,7 @@ def repeated(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     """``t1, t2, first, last``: ranges of starts of windows whose words also stand anywhere else."""
     found = staged(spans(texts, window, gram), "spans")
     unsure = found.where("h1 is not null")
-    twice = unsure.groupBy("h1", "h2").agg(F.sum("copies").alias("n")).where("n > 1").select("h1", "h2")
+    twice = unsure.groupBy("h1", "h2").agg(F.sum("copies").alias("n")).where("n > 1").select("h1", "h2").repartition(F.xxhash64("h1", "h2"))
     verified = unsure.join(twice, ["h1", "h2"], "left_semi")
     return found.where("h1 is null").union(verified.select(found.columns)).select(*TEXT_KEY, "first", "last")
 
