@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-MEMORY = 200_000
+MEMORY = 300_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -152,18 +152,41 @@ class Coder:
     def __init__(self, path: str, memory: int = MEMORY):
         self.pieces = Pieces(path)
         self.splits = not any(BLANK in p.lstrip(BLANK) for i, p in enumerate(self.pieces.text) if i not in self.pieces.control)
-        self.known: dict[str, bytes] = {}
+        usable = (p for i, p in enumerate(self.pieces.text) if i not in self.pieces.control and i not in self.pieces.bytes)
+        self.pairs = {p[k : k + 2] for p in usable for k in range(len(p) - 1)}
+        self.known: dict[str, bytes] = {}  # after a blank
+        self.inner: dict[str, bytes] = {}  # after a boundary inside of a word
         self.memory = memory
 
     def _segment(self, text: str) -> bytes:
         stream = Stream(self.pieces)
-        out = array("I")
         step = 8 * self.pieces.longest
+        if len(text) <= step:
+            stream.text = text
+            return array("I", stream.finish()).tobytes()
+        out = array("I")
         for k in range(0, len(text), step):
             out.extend(stream.feed(text[k : k + step]))
         out.extend(stream.finish())
         return out.tobytes()
 
+    def _remembered(self, memory: dict, before: str, part: str) -> bytes:
+        ids = memory.get(part)
+        if ids is None:
+            ids = self._segment(before + part)
+            if len(memory) < self.memory and len(part) < 40:
+                memory[part] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        """What stands between two blanks, cut between letters that no piece has side by side: every path passes there."""
+        cuts = [k for k in range(1, len(part)) if part[k - 1 : k + 1] not in self.pairs]
+        if not cuts:
+            return self._remembered(self.known, BLANK, part)
+        out = [self._remembered(self.known, BLANK, part[: cuts[0]])]
+        out += [self._remembered(self.inner, "", part[a:b]) for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True)]
+        return b"".join(out)
+
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids; blanks become the model's mark, with one before the text."""
         if not text:
@@ -186,13 +209,7 @@ class Coder:
                     found[at] = self._segment(BLANK * (end + 1 - at if end < len(parts) else end - at) + (parts[end] if end < len(parts) else ""))
                     at = end + 1
                     continue
-                part = parts[at]
-                ids = self.known.get(part)
-                if ids is None:
-                    ids = self._segment(BLANK + part)
-                    if len(self.known) < self.memory and len(part) < 40:
-                        self.known[part] = ids
-                found[at] = ids
+                found[at] = self._part(parts[at])
                 at += 1
         except ValueError:
             return b"".join(found)
