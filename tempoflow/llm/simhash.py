@@ -19,11 +19,11 @@ SEGMENTS = 4
 BLOCK = 8192
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """64 bits; bit i is set if it is set in more than half of the hashes of all word shingles."""
+def shingles(text: str | None, shingle: int, seed: int = 42) -> Iterator[np.ndarray]:
+    """64-bit hashes of all word shingles, repeats included, in parts; none for a text without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -31,13 +31,20 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
         starts, ends = starts[: 1 - shingle], ends[shingle - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
-    digest, counts, n = xxhash.xxh64_intdigest, np.zeros(64, np.int64), len(starts)
+    digest = xxhash.xxh64_intdigest
     pairs = list(zip(starts.tolist(), ends.tolist(), strict=True))
-    for k in range(0, n, 50_000):
+    for k in range(0, len(pairs), 50_000):
         part = pairs[k : k + 50_000]
-        hashes = np.fromiter((digest(line[a:b], seed) for a, b in part), "<u8", len(part))
+        yield np.fromiter((digest(line[a:b], seed) for a, b in part), "<u8", len(part))
+
+
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    """64 bits; bit i is set if it is set in more than half of the hashes of all word shingles."""
+    counts, n = np.zeros(64, np.int64), 0
+    for hashes in shingles(text, shingle, seed):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.uint32)
+        n += len(hashes)
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
@@ -176,11 +183,7 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
 
 
 def keep_first(docs: DataFrame, row_id: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """Rows of ``docs``, with all of their columns, whose id is the smallest of their component.
+    """:func:`tempoflow.llm.jaccard.keep_first`, which confirms every link by the shingles themselves."""
+    from tempoflow.llm import jaccard
 
-    Rows with a null id stay. Of rows that share an id and a text one stays; rows that share an id only are judged each.
-    """
-    found = near_duplicates(docs, row_id, text, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(row_id).cast("long").alias("id"), F.xxhash64(text).alias("h"))
-    first = rows.where("id is not null").join(found, "id").dropDuplicates(["id", "h"]).select("row.*")
-    return first.unionByName(docs.where(F.col(row_id).isNull()))
+    return jaccard.keep_first(docs, row_id, text, shingle)
