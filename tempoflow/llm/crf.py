@@ -290,11 +290,11 @@ def identify(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str =
     return source.mapInArrow(run, SCHEMA)
 
 
-def keep_identified(docs: DataFrame, model: Model, text: str = "text", min_score: float = 0.3) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, text: str = "text", min_score: float = 0.0) -> DataFrame:
     """Rows of ``docs``, with all of their columns, whose language is determined with at least ``min_score``.
 
-    The best of up to three languages always reaches 0.3, and a text in mostly one language far more, so what goes is text
-    without letters and, with many languages, text whose words point everywhere.
+    By default only ``und`` goes: null texts and texts without a letter. A higher score also drops texts whose words point
+    everywhere, as short or mixed ones do, and the more so the more languages there are.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -65,3 +65,13 @@ def test_hard_rows(spark, docs, corpus, no_docs):
     assert {r.lang_pred for r in crf.identify(docs, crf.train(no_docs)).collect()} == {"und"}
     only = crf.fit([("the", "en")])
     assert crf.predict(only, ["x", "1", None]) == [("en", 1.0), ("und", 0.0), ("und", 0.0)]
+
+
+def test_a_low_score_alone_rejects_nothing(spark):
+    """Eight languages that share their words: none of them gets 0.3."""
+    model = crf.fit([("ka lo mi nu pe", f"l{k}") for _ in range(9) for k in range(8)])
+    texts = ["ka lo mi nu pe", "mi ka", "12 !!", None]
+    found = crf.predict(model, texts)
+    assert all(f[0] != "und" and f[1] < 0.3 for f in found[:2])
+    kept = crf.keep_identified(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1]
