@@ -205,12 +205,13 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK,
             for key, rows, x in groups(batch):
                 cell[rows], apart = first.value.nearest(key, x)
                 reach[rows] = apart.min(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("dim"), pa.array(cell), pa.array(reach)], names=["label", "dim", "cell", "reach"])
+            cut = pa.array([key in first.value.pivots for key in zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("dim"), pa.array(cell), pa.array(reach), cut], names=["label", "dim", "cell", "reach", "cut"])
 
-    placed = distinct.select("label", "dim", "embedding").mapInArrow(assign, "label int, dim int, cell long, reach double")
+    placed = distinct.select("label", "dim", "embedding").mapInArrow(assign, "label int, dim int, cell long, reach double, cut boolean")
     # groups without pivots have one cell; only the others are measured, at most one row per pivot
-    known = placed.groupBy("label", "dim", "cell").agg(F.max("reach").alias("radius"), F.count(F.lit(1)).alias("size"))
-    big = known.where((F.col("size") > block) | (F.col("cell") > 0) | (F.col("radius") > 0))
+    known = placed.groupBy("label", "dim", "cell").agg(F.max("reach").alias("radius"), F.count(F.lit(1)).alias("size"), F.max("cut").alias("cut"))
+    big = known.where((F.col("size") > block) | F.col("cut"))
     cells.measure(big.collect(), block)
     second = spark.sparkContext.broadcast(cells)
     reach = math.sqrt(2 - 2 * threshold) + SLACK

@@ -58,6 +58,24 @@ def test_cover_trees_find_every_link(spark, table, options):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_links_of_a_pivot_alone_in_its_cell(spark):
+    """As many pivots as vectors allow: cell 0 may hold its pivot alone, at radius 0, with partners in the other cells."""
+    rng = np.random.default_rng(3)
+    for _ in range(4):
+        a = np.eye(1, 8)[0]
+        rows = [(k, [float(x) for x in np.float32(a + 0.02 * (k > 0) * rng.normal(size=8))], 0, "x", 1) for k in range(6)]
+        df = spark.createDataFrame(rows, SCHEMA)
+        at = F.when(F.col("vec_id") == 0, F.lit(0)).otherwise(F.col("vec_id"))
+        distinct = df.select("label", F.lit(8).alias("dim"), at.alias("node"), F.lit(1).cast("long").alias("n"), "embedding")
+        found = covertree.links(distinct, block=2, pivots=6).where("kind = 0").collect()
+        weight = {}
+        for r in found:
+            weight[r.a] = weight.get(r.a, 0) + r.b
+        x = np.array([r[1] for r in rows], float)
+        cosine = x @ x.T / np.outer(np.sqrt((x * x).sum(axis=1)), np.sqrt((x * x).sum(axis=1)))
+        assert weight == {k: int(n) for k, n in enumerate((cosine >= 0.98).sum(axis=1) - 1) if n}
+
+
 def test_cover_tree_levels():
     x = np.random.default_rng(0).normal(size=(300, 5))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
