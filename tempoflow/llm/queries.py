@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, runlength, simhash, viterbi
+from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, prefixbpe, runlength, simhash, viterbi
 from tempoflow.llm.common import read
 
 
@@ -58,6 +58,13 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlength.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids are counted and digested, and the bytes that they decode to are."""
+    coded = prefixbpe.decode(prefixbpe.encode(read(spark, sf_dir, "documents")))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest_neighbours": op1_nearest_neighbours,
@@ -70,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_packing": op9_packing,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
+        "op13_byte_bpe": op13_byte_bpe,
     }
 
 
