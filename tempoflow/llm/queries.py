@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, prefixbpe, runlength, simhash, viterbi
+from tempoflow.functions.hashing import let
+from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, periodic, prefixbpe, runlength, simhash, viterbi
 from tempoflow.llm.common import read
 
 
@@ -58,6 +59,48 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlength.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def _looped(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: from word a on, the texts of a tenth of the documents go round in p of their words.
+
+    h = crc32 of the decimal id, g = h // 10; if h % 10 = 0 and there are n > 0 words, a = g % n and
+    p = 1 + (n - a) // (3 + g % 8). A null id leaves the text as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def turn(words: Column) -> Column:
+        n = F.size(words)
+
+        def loop(span: Column) -> Column:
+            place = lambda i: F.when(i < span["a"], i).otherwise(span["a"] + (i - span["a"]) % span["p"])
+            return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i).cast("int"))), " ")
+
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        return F.when(n > 0, let(F.struct(a.alias("a"), p.alias("p")), loop)).otherwise(F.lit(""))
+
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words, turn)).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the runs of every text, and of the text without their repeats."""
+    found = periodic.find_runs(_looped(read(spark, sf_dir, "documents"))).withColumn("best", periodic.strongest(F.col("runs")))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = F.col("best")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids are counted and digested, and the bytes that they decode to are."""
     coded = prefixbpe.decode(prefixbpe.encode(read(spark, sf_dir, "documents")))
@@ -77,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_packing": op9_packing,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
+        "op11_periodic_runs": op11_periodic_runs,
         "op13_byte_bpe": op13_byte_bpe,
     }
 
