@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoflow.functions.hashing import let
-from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, periodic, prefixbpe, runlength, simhash, viterbi
+from tempoflow.llm import chat, covertree, crf, debruijn, kmtree, licenses, packing, periodic, prefixbpe, runlength, simhash, viterbi, whitening
 from tempoflow.llm.common import read
 
 
@@ -101,6 +101,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids are counted and digested, and the bytes that they decode to are."""
     coded = prefixbpe.decode(prefixbpe.encode(read(spark, sf_dir, "documents")))
@@ -121,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_embedding_whitening": op12_embedding_whitening,
         "op13_byte_bpe": op13_byte_bpe,
     }
 
