@@ -20,22 +20,25 @@ from pyspark.sql import functions as F
 
 ENDLESS = sys.maxsize
 PAIRS = 1 << 20
-SEGMENTS = 800_000
+SEGMENTS = 300_000
 assert sys.byteorder == "little" and array("i").itemsize == 4
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
 class Vocabulary:
     """Tokens of a rank file, the merges that make each of them, and which tokens may stand side by side."""
 
     def __init__(self, path: str):
         import ahocorasick
 
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.ranks = read_ranks(path)
         ordered = sorted(self.ranks.items(), key=lambda item: item[1])
-        self.bytes: list[bytes | None] = [None] * (ordered[-1][1] + 1)
-        self.size = [0] * len(self.bytes)
-        self.shift = len(self.bytes).bit_length()
+        self.size = [0] * (ordered[-1][1] + 1)
+        self.shift = len(self.size).bit_length()
         self.longest = max(map(len, self.ranks))
         self._merges: dict[int, int] = {}
         # what stands at a token's border while its bytes are merged, from the single byte to the whole token
@@ -43,7 +46,7 @@ class Vocabulary:
         self._right: dict[int, tuple[int, ...]] = {}
         self._apart: dict[int, bool] = {}
         for token, rank in ordered:
-            self.bytes[rank], self.size[rank] = token, len(token)
+            self.size[rank] = len(token)
             for k in range(1, len(token)):
                 left, right = self.ranks.get(token[:k]), self.ranks.get(token[k:])
                 if left is not None and right is not None:
@@ -260,9 +263,6 @@ class Coder:
         tail = text[max(cut, 0) :]
         return ids[: len(ids) - len(self.encode(tail))] + self.encode(tail + more)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
-
 
 class Document:
     """A text under edit: its pieces with their tables, of which an edit touches those near it only."""
@@ -346,6 +346,14 @@ def coder(path: str | None, pattern: str | None) -> Coder:
     return Coder(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern or public_tokenizers.PATTERN)
 
 
+@cache
+def token_bytes(path: str | None) -> dict[int, bytes]:
+    """All that decoding needs."""
+    import public_tokenizers
+
+    return {rank: token for token, rank in read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).items()}
+
+
 def _lists(ids: list[bytes]) -> pa.Array:
     offsets = np.zeros(len(ids) + 1, np.int32)
     np.cumsum([len(i) // 4 for i in ids], out=offsets[1:])
@@ -397,7 +405,7 @@ def append(encoded: DataFrame, path: str | None = None, pattern: str | None = No
     return encoded.select(F.col("doc_id").cast("long"), "text", F.col("ids").cast("array<int>"), "more").mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, ids, bytes`` for rows of ``doc_id, ids``: the bytes that the ids stand for.
 
     Null ids give null bytes and no ids empty ones; an id that the vocabulary does not have fails the job. Null and repeated
@@ -405,9 +413,9 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = No
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
+        token = token_bytes(path).__getitem__
         for part in _parts(batches):
-            found = [own.decode(ids.values.to_numpy().tolist()) if ids.is_valid else None for ids in part.column(1)]
+            found = [b"".join(map(token, ids.values.to_numpy().tolist())) if ids.is_valid else None for ids in part.column(1)]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=["doc_id", "ids", "bytes"])
 
     return encoded.select(F.col("doc_id").cast("long"), F.col("ids").cast("array<int>")).mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
