@@ -14,7 +14,8 @@ from tempoflow import schema as S
 from tempoflow.operators.privacy import mask_features
 from tempoflow.operators.ranking import last_n_overall
 from tempoflow.operators.stats import track_history
-from tempoflow.session import broadcast_if_small, splittable
+from tempoflow.session import broadcast_if_small, checkpointed, splittable
+from tempoflow.sources.store import FILE, Store, Version
 
 # Request types.
 TYPES = ("track", "artist", "feature")
@@ -160,20 +161,38 @@ def verify_tracks(df: DataFrame, processed: DataFrame, requests: DataFrame) -> D
     )
 
 
-def residue(stored: DataFrame, requests: DataFrame) -> DataFrame:
-    """Rows of forgotten items in stored data, before and after a purge; the second number must be 0.
-
-    One pass over the stored rows: both request tables are joined as flags, and a purge keeps the rows without one.
-    """
-    flagged = stored.select("name", "artist")
+def with_stale(df: DataFrame, requests: DataFrame) -> DataFrame:
+    """Add ``_stale``: whether the track or the artist of a row is forgotten. One pass; both request tables join as flags."""
     for kind, column in (("track", "name"), ("artist", "artist")):
-        items = splittable(forgotten(requests, kind).select("forgotten_item").distinct(), "forgotten_item")
+        items = checkpointed(splittable(forgotten(requests, kind).select("forgotten_item").distinct(), "forgotten_item"))
         gone = broadcast_if_small(items).withColumn(f"_{kind}", F.lit(True))
-        flagged = flagged.join(gone, F.col(column) == F.col("forgotten_item"), "left").drop("forgotten_item")
+        df = df.join(gone, F.col(column) == F.col("forgotten_item"), "left").drop("forgotten_item")
     stale = F.coalesce("_track", F.lit(False)) | F.coalesce("_artist", F.lit(False))
-    purged = ~F.coalesce("_track", F.lit(False)) & ~F.coalesce("_artist", F.lit(False))
+    return df.withColumn("_stale", stale).drop("_track", "_artist")
+
+
+def residue(stored: DataFrame, purged: DataFrame, requests: DataFrame) -> DataFrame:
+    """Rows of forgotten items in stored data and in what a purge has left of it; the second number must be 0.
+
+    Both are counted on the rows themselves, so an incomplete purge shows.
+    """
+    both = stored.select("name", "artist", F.lit(False).alias("_after")).union(purged.select("name", "artist", F.lit(True)))
+    flagged = with_stale(both, requests)
     return flagged.agg(
-        F.count(F.lit(1)).alias("stored_rows"),
-        F.count_if(stale).alias("residue_before"),
-        F.count_if(purged & stale).alias("residue_after"),
+        F.count_if(~F.col("_after")).alias("stored_rows"),
+        F.count_if(F.col("_stale") & ~F.col("_after")).alias("residue_before"),
+        F.count_if(F.col("_stale") & F.col("_after")).alias("residue_after"),
+    )
+
+
+def purge(store: Store, table: str, requests: DataFrame) -> Version:
+    """Remove the rows of everything forgotten from a stored table, whatever their time.
+
+    Only the files that hold such rows are rewritten, and readers see the old version until the new one is complete. A failed
+    purge changes nothing and a second one rewrites nothing. The old files are deleted by :meth:`Store.vacuum`. Tables
+    written in the order of artist and name keep what is forgotten in few files.
+    """
+    known = checkpointed(accepted(requests))  # requests that come in meanwhile wait for the next purge as a whole
+    return store.rewrite(
+        table, lambda rows: with_stale(rows.select("name", "artist", FILE), known).where("_stale"), lambda rows: drop_forgotten(rows, known)
     )

@@ -16,6 +16,7 @@ from tempoflow.plans import oracle as Q
 from tempoflow.plans import views as V
 from tempoflow.session import stage_path
 from tempoflow.sources import codec, readers, tables
+from tempoflow.sources.store import Store
 from tempoflow.streaming import epochs, jobs, stateful
 from tempoflow.streaming.epochs import AVAILABLE_NOW, finish
 
@@ -358,7 +359,20 @@ def _unlearning_queries() -> dict[str, Query]:
         return timed(unlearning.verify_tracks(df, processed, requests), "last_seen")
 
     def residue(df: DataFrame, requests: DataFrame) -> DataFrame:
-        return unlearning.residue(unlearning.drop_forgotten(df, requests, since_request=True), requests)
+        stored = unlearning.drop_forgotten(df, requests, since_request=True)
+        return unlearning.residue(stored, unlearning.drop_forgotten(stored, requests), requests)
+
+    def history(df: DataFrame, requests: DataFrame) -> Store:
+        """What was lawful at each time, stored, and then purged of all that was forgotten since."""
+        store = Store(df.sparkSession, stage_path(df.sparkSession, "history"))
+        lawful = unlearning.drop_forgotten(df, requests, since_request=True)
+        store.append("tracks", lawful.repartitionByRange("artist", "name"))
+        unlearning.purge(store, "tracks", requests)
+        return store
+
+    def audit(df: DataFrame, requests: DataFrame) -> DataFrame:
+        store = history(df, requests)
+        return unlearning.residue(store.read("tracks", store.version(1)), store.read("tracks"), requests)
 
     return {
         "forget_filter": Query(_with_requests(lambda df, r: unlearning.drop_forgotten(df, r).select("seq", "name", "artist")), rows(Q.FORGET_FILTER)),
@@ -373,6 +387,8 @@ def _unlearning_queries() -> dict[str, Query]:
         "unlearn_verify_all": Query(_with_requests(unlearning.verify_all), rows(Q.VERIFY_ALL)),
         "unlearn_verify": Query(_with_requests(verified), rows(Q.VERIFY)),
         "unlearn_residue": Query(_with_requests(residue), rows(Q.RESIDUE)),
+        "unlearn_purge": Query(_with_requests(lambda df, r: shown(history(df, r).read("tracks"))), rows(Q.PURGED)),
+        "unlearn_purge_audit": Query(_with_requests(audit), rows(Q.RESIDUE)),
     }
 
 

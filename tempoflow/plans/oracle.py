@@ -455,6 +455,9 @@ SELECT (SELECT count(*) FROM streamed) AS stored_rows,
                                          OR artist IN (SELECT item FROM gone_artists)) AS residue_before,
        0::BIGINT AS residue_after"""
 
+PURGED = f"""
+SELECT seq, name, artist, popularity::DOUBLE AS popularity, danceability, energy, tempo, {TIME} AS timestamp FROM kept"""
+
 # ---- time windows ------------------------------------------------------------------------------------------------
 
 TUMBLING = """

@@ -47,8 +47,11 @@ def test_request_time_is_respected_and_purge_leaves_nothing(spark, tracks):
     log = requests(spark, ("track", "a"))
     streamed = U.drop_forgotten(tracks, log, since_request=True)
     assert sorted(r["seq"] for r in streamed.collect()) == [0, 2, 3, 4]
-    row = U.residue(streamed, log).first()
+    row = U.residue(streamed, U.drop_forgotten(streamed, log), log).first()
     assert (row["stored_rows"], row["residue_before"], row["residue_after"]) == (4, 1, 0)
+    broken = streamed.where("seq > 0")  # a purge that overlooks nothing here, and one that does
+    assert U.residue(streamed, broken, log).first()["residue_after"] == 0
+    assert U.residue(streamed, streamed, log).first()["residue_after"] == 1
 
 
 def test_masks_begin_with_their_request(spark, tracks):
