@@ -17,7 +17,7 @@ from tempoflow.plans import views as V
 from tempoflow.session import stage_path
 from tempoflow.sources import codec, readers, tables
 from tempoflow.sources.store import Store
-from tempoflow.streaming import epochs, jobs, stateful
+from tempoflow.streaming import epochs, jobs, keyed, stateful
 from tempoflow.streaming.epochs import AVAILABLE_NOW, finish
 
 View = Callable[[SparkSession, str], DataFrame]
@@ -432,6 +432,23 @@ def _stream_dgim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.dgim_estimates(table.latest(spark)).withColumnRenamed("group", "artist")
 
 
+def _stream_dgim_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    query, table = jobs.dgim_state_job(_track_stream(spark, sf_dir), stage_path(spark, "stream"), AVAILABLE_NOW)
+    finish(query)
+    return stateful.dgim_estimates(keyed.live(table)).withColumnRenamed("group", "artist")
+
+
+def _updated(build: Callable[[DataFrame], DataFrame], keys: list[str], show: Callable[[DataFrame], DataFrame]):
+    """Run a streaming aggregate in update mode over the whole table and return the newest row of each group."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        query, table = jobs.update_job(build(_track_stream(spark, sf_dir)), keys, stage_path(spark, "stream"), AVAILABLE_NOW)
+        finish(query)
+        return show(table.read().drop("epoch"))
+
+    return run
+
+
 def _stream_unlearn(spark: SparkSession, sf_dir: str) -> DataFrame:
     query, table = jobs.unlearn_job(
         _track_stream(spark, sf_dir), lambda: V.forget_requests(spark, sf_dir), stage_path(spark, "stream"), trigger=AVAILABLE_NOW
@@ -509,6 +526,23 @@ def _stream_queries() -> dict[str, Query]:
                 Q.dgim("artist"),
             ),
         ),
+        "stream_dgim_state": Query(
+            _stream_dgim_state,
+            rows(
+                f"SELECT artist, signal, estimated_count, current_position, bucket_count FROM ({dgim_sql})",
+                Q.BITS,
+                Q.dgim("artist"),
+            ),
+        ),
+        "stream_artist_updates": Query(
+            _updated(stats.artist_stats, ["artist"], lambda df: rounded(stats.by_track_count(df))), rows(Q.ARTIST_STATS)
+        ),
+        "stream_fm_updates": Query(
+            _updated(
+                lambda df: distinct.registers(df, group=("artist",), mode=H.PORTABLE), ["artist"], lambda df: rounded(distinct.estimate(df, ("artist",)))
+            ),
+            rows(Q.FM_BY_GROUP, Q.FM_ZEROS),
+        ),
         "stream_unlearn": Query(_stream_unlearn, rows(Q.UNLEARN_APPLY, Q.GONE)),
         "stream_batch_analytics": Query(_analytics_report("trending", stats.trending), rows(Q.TRENDING)),
         "stream_batch_artists": Query(

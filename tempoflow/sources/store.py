@@ -112,6 +112,10 @@ class Store:
         names = sorted(f"{folder}/{name.rsplit('/', 1)[1]}" for name in stored.inputFiles())
         return Part(names, stored.count())
 
+    def discard(self, part: Part) -> None:
+        """Delete files that were written but are in no version."""
+        self._fs().delete(self._at(part.files[0].rsplit("/", 1)[0]), True)
+
     def read(self, table: str, version: Version | None = None, parts: list[Part] | None = None) -> DataFrame:
         """Rows of a table in a version, by default the newest, or of some of its parts."""
         version = version or self.version()
@@ -197,8 +201,12 @@ class Generations:
         return version.tables.get(self.table, [])
 
     def added(self, version: Version, rows: DataFrame) -> list[Part]:
-        """The parts with ``rows`` added, to be committed."""
-        parts = [*self.parts(version), self.store.write(rows)]
+        """The parts with ``rows`` added, to be committed; without rows they stay as they are."""
+        new = self.store.write(rows)
+        if not new.rows and self.table in version.schemas:
+            self.store.discard(new)
+            return self.parts(version)
+        parts = [*self.parts(version), new]
         schemas = version._replace(schemas={**version.schemas, self.table: rows.schema.json()})
         while len(parts) > 1 and parts[-2].rows < 2 * parts[-1].rows:
             merged = self.combine(self.store.read(self.table, schemas, parts[-2:]))
@@ -209,7 +217,10 @@ class Generations:
         base = self.store.version()
         if epoch is not None and epoch <= base.epoch:
             return base
-        return self.store.commit(base, {self.table: self.added(base, rows)}, {self.table: rows.schema}, epoch)
+        parts = self.added(base, rows)
+        if self.table in base.schemas and parts == self.parts(base):
+            return base  # nothing came: such an epoch makes no version
+        return self.store.commit(base, {self.table: parts}, {self.table: rows.schema}, epoch)
 
     def raw(self, version: Version) -> DataFrame | None:
         """The uncombined rows, None before the first."""

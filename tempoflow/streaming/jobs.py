@@ -10,7 +10,8 @@ from tempoflow.functions import hashing as H
 from tempoflow.functions.scalars import above
 from tempoflow.operators import clustering, distinct, membership, privacy, sampling, similarity, stats
 from tempoflow.session import freed_checkpoints
-from tempoflow.streaming import epochs, stateful
+from tempoflow.sources.store import Generations, Store
+from tempoflow.streaming import epochs, keyed, stateful
 from tempoflow.streaming.epochs import EpochTable
 
 
@@ -32,6 +33,20 @@ def snapshot_job(
     return epochs.start_snapshots(aggregate, table, f"{path}/checkpoint", trigger), table
 
 
+def update_job(changes: DataFrame, keys: list[str], path: str, trigger: dict | None = None) -> tuple[StreamingQuery, Generations]:
+    """Run a streaming aggregate, or any stream of changed rows per key, in update mode.
+
+    An epoch writes only the groups that it has changed; the returned table reads as the newest row of each.
+    """
+    table = keyed.upserts(Store(changes.sparkSession, f"{path}/result"), "rows", keys)
+    return epochs.start(changes, keyed.upsert_handler(table), f"{path}/checkpoint", "update", trigger), table
+
+
+def dgim_state_job(stream: DataFrame, path: str, trigger: dict | None = None, **options) -> tuple[StreamingQuery, Generations]:
+    """Exponential buckets with one state per key; read the result with :func:`keyed.live`."""
+    return update_job(keyed.dgim_states(stream, **options), ["group", "signal"], path, trigger)
+
+
 def append_job(rows: DataFrame, path: str, trigger: dict | None = None) -> tuple[StreamingQuery, str]:
     """Run a stream of final rows into a parquet folder."""
     return epochs.start_append(rows, f"{path}/result", f"{path}/checkpoint", trigger), f"{path}/result"
