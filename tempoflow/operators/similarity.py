@@ -225,15 +225,22 @@ def lsh_candidates(items: DataFrame, threshold: float = 0.5, mode: str = H.FAST)
 
 
 def similar_to(
-    probes: DataFrame, items: DataFrame, threshold: float = 0.5, mode: str = H.FAST, verify: bool = True
+    probes: DataFrame,
+    items: DataFrame,
+    threshold: float = 0.5,
+    mode: str = H.FAST,
+    verify: bool = True,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """All partners of the probe songs found through the index; an item is not its own partner.
 
+    ``index`` is that of the items (:func:`lsh_index`), if there is one already.
+
     Everything is linear in the items per probe. The probe sides are broadcast only while they are measured small.
     """
     own = [f"own_{l}" for l in LEVELS]
     probes = checkpointed(probes)
-    index = lsh_index(items, threshold, mode).select("bucket", *LEVELS)
+    index = (lsh_index(items, threshold, mode) if index is None else index).select("bucket", *LEVELS)
     wanted = checkpointed(
         lsh_index(probes, threshold, mode).select("bucket", *[F.col(l).alias(f"own_{l}") for l in LEVELS])
     )

@@ -19,6 +19,7 @@ from tempoflow.sources import codec, readers, tables
 from tempoflow.sources.store import Store
 from tempoflow.streaming import epochs, jobs, keyed, stateful
 from tempoflow.streaming.epochs import AVAILABLE_NOW, finish
+from tempoflow.streaming.similar import SongIndex
 
 View = Callable[[SparkSession, str], DataFrame]
 
@@ -438,6 +439,17 @@ def _stream_dgim_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.dgim_estimates(keyed.live(table)).withColumnRenamed("group", "artist")
 
 
+def _song_index(spark: SparkSession, sf_dir: str) -> SongIndex:
+    query, index = jobs.similarity_job(_track_stream(spark, sf_dir), stage_path(spark, "stream"), mode=H.PORTABLE, trigger=AVAILABLE_NOW)
+    finish(query)
+    return index
+
+
+def _stream_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = _song_index(spark, sf_dir)
+    return index.similar_to(index.songs_of().orderBy("item").limit(2))
+
+
 def _updated(build: Callable[[DataFrame], DataFrame], keys: list[str], show: Callable[[DataFrame], DataFrame]):
     """Run a streaming aggregate in update mode over the whole table and return the newest row of each group."""
 
@@ -543,6 +555,10 @@ def _stream_queries() -> dict[str, Query]:
             ),
             rows(Q.FM_BY_GROUP, Q.FM_ZEROS),
         ),
+        "stream_lsh_candidates": Query(
+            lambda s, d: _song_index(s, d).candidates(), rows(Q.LSH_CANDIDATES, Q.SONGS, Q.song_levels(), Q.banded())
+        ),
+        "stream_similar": Query(_stream_similar, rows(Q.SIMILAR_TO, Q.SONGS, Q.song_levels(), Q.banded(), Q.CANDIDATES)),
         "stream_unlearn": Query(_stream_unlearn, rows(Q.UNLEARN_APPLY, Q.GONE)),
         "stream_batch_analytics": Query(_analytics_report("trending", stats.trending), rows(Q.TRENDING)),
         "stream_batch_artists": Query(

@@ -11,7 +11,7 @@ from tempoflow.functions.scalars import above
 from tempoflow.operators import clustering, distinct, membership, privacy, sampling, similarity, stats
 from tempoflow.session import freed_checkpoints
 from tempoflow.sources.store import Generations, Store
-from tempoflow.streaming import epochs, keyed, stateful
+from tempoflow.streaming import epochs, keyed, similar, stateful
 from tempoflow.streaming.epochs import EpochTable
 
 
@@ -47,6 +47,14 @@ def dgim_state_job(stream: DataFrame, path: str, trigger: dict | None = None, **
     return update_job(keyed.dgim_states(stream, **options), ["group", "signal"], path, trigger)
 
 
+def similarity_job(
+    stream: DataFrame, path: str, threshold: float = 0.5, mode: str = H.FAST, trigger: dict | None = None
+) -> tuple[StreamingQuery, similar.SongIndex]:
+    """Keep the similarity index of all songs of a stream; every epoch is compared with all before it."""
+    index = similar.SongIndex(Store(stream.sparkSession, f"{path}/index"), threshold, mode)
+    return epochs.start(stream, similar.index_handler(index), f"{path}/checkpoint", trigger=trigger), index
+
+
 def append_job(rows: DataFrame, path: str, trigger: dict | None = None) -> tuple[StreamingQuery, str]:
     """Run a stream of final rows into a parquet folder."""
     return epochs.start_append(rows, f"{path}/result", f"{path}/checkpoint", trigger), f"{path}/result"
