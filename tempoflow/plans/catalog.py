@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoflow import schema as S
@@ -17,7 +17,7 @@ from tempoflow.plans import views as V
 from tempoflow.session import stage_path
 from tempoflow.sources import codec, readers, tables
 from tempoflow.sources.store import Store
-from tempoflow.streaming import epochs, jobs, keyed, stateful
+from tempoflow.streaming import epochs, jobs, joins, keyed, stateful
 from tempoflow.streaming.epochs import AVAILABLE_NOW, finish
 from tempoflow.streaming.similar import SongIndex
 
@@ -160,10 +160,14 @@ def _ml_lsh_check(df: DataFrame) -> DataFrame:
     )
 
 
+def _cut_short() -> Column:
+    """Every third message is cut short."""
+    return F.when(F.col("event_id") % 3 == 0, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+
+
 def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third message is cut short: the texts that the decoder refuses, and how many messages it takes."""
-    events = tables.table(spark, sf_dir, "events")
-    cut = F.when(F.col("event_id") % 3 == 0, F.expr("substring(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    """The texts that the decoder refuses, and how many messages it takes."""
+    events, cut = tables.table(spark, sf_dir, "events"), _cut_short()
     good, bad = codec.decode_with_rejects(events.select(cut.alias("value")), _props_schema())
     decoded = good.agg(F.lit("decoded").alias("value"), F.count(F.lit(1)).alias("messages"))
     return bad.groupBy("value").agg(F.count(F.lit(1)).alias("messages")).unionByName(decoded)
@@ -439,14 +443,43 @@ def _stream_dgim_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.dgim_estimates(keyed.live(table)).withColumnRenamed("group", "artist")
 
 
-def _song_index(spark: SparkSession, sf_dir: str) -> SongIndex:
-    query, index = jobs.similarity_job(_track_stream(spark, sf_dir), stage_path(spark, "stream"), mode=H.PORTABLE, trigger=AVAILABLE_NOW)
+def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the decoder refuses in a stream, with reason, and how many messages it takes; some have numbers as text, some are missing."""
+    events = readers.stream_table(spark, sf_dir, "events")
+    key = F.col("event_id")
+    odd = F.when(key % 7 == 1, '{"k": "seven"}').when(key % 7 == 2, "").when(key % 7 == 3, F.lit(None)).otherwise(_cut_short())
+    query, outputs = jobs.decode_job(events.select(key.alias("offset"), odd.alias("value")), stage_path(spark, "stream"), _props_schema(), trigger=AVAILABLE_NOW)
+    finish(query)
+    decoded = outputs.records().agg(
+        F.lit("decoded").alias("reason"), F.count(F.lit(1)).alias("messages"), F.sum("offset").alias("offsets"), F.sum("k").alias("k")
+    )
+    refused = outputs.rejects().groupBy("reason").agg(F.count(F.lit(1)).alias("messages"), F.sum("offset").alias("offsets"))
+    return refused.withColumn("k", F.lit(0).cast("bigint")).unionByName(decoded)
+
+
+def _stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Playlist items joined with their audio features as both stream in; features are missing for some and too late for others."""
+    lines = lambda: readers.stream_table(spark, sf_dir, "lineitem")
+    documents = tables.documents_from_lines(lines(), F.col("l_shipdate").cast("timestamp").alias("timestamp"))
+    items = codec.flatten_items(codec.decode(documents, S.PLAYLIST_SCHEMA, keep=("timestamp",)), keep=("timestamp",))
+    joined = joins.with_features(items, tables.measured_features(lines()), wait="6 hours", delay="24 hours 30 minutes")
+    query, path = jobs.append_job(joined, stage_path(spark, "stream"), AVAILABLE_NOW)
+    finish(query)
+    return timed(rounded(spark.read.schema(joined.schema).parquet(path), 9))
+
+
+def _song_index(spark: SparkSession, sf_dir: str, every_row: bool = False) -> SongIndex:
+    """The index of the songs of the stream, or of all its rows as songs of their own."""
+    stream = _track_stream(spark, sf_dir)
+    if every_row:
+        stream = stream.withColumn("name", F.concat("name", F.lit("#"), F.col("seq").cast("string")))
+    query, index = jobs.similarity_job(stream, stage_path(spark, "stream"), mode=H.PORTABLE, trigger=AVAILABLE_NOW)
     finish(query)
     return index
 
 
 def _stream_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = _song_index(spark, sf_dir)
+    index = _song_index(spark, sf_dir, every_row=True)
     return index.similar_to(index.songs_of().orderBy("item").limit(2))
 
 
@@ -558,7 +591,12 @@ def _stream_queries() -> dict[str, Query]:
         "stream_lsh_candidates": Query(
             lambda s, d: _song_index(s, d).candidates(), rows(Q.LSH_CANDIDATES, Q.SONGS, Q.song_levels(), Q.banded())
         ),
-        "stream_similar": Query(_stream_similar, rows(Q.SIMILAR_TO, Q.SONGS, Q.song_levels(), Q.banded(), Q.CANDIDATES)),
+        "stream_lsh_candidates_all": Query(
+            lambda s, d: _song_index(s, d, every_row=True).candidates(), rows(Q.LSH_CANDIDATES, Q.levels(), Q.banded())
+        ),
+        "stream_similar": Query(_stream_similar, rows(Q.SIMILAR_TO, Q.levels("name || '#' || seq || '-' || artist"), Q.banded(), Q.CANDIDATES)),
+        "stream_json_rejects": Query(_stream_rejects, Q.STREAM_REJECTS),
+        "stream_flatten": Query(_stream_flatten, Q.STREAM_FLATTEN),
         "stream_unlearn": Query(_stream_unlearn, rows(Q.UNLEARN_APPLY, Q.GONE)),
         "stream_batch_analytics": Query(_analytics_report("trending", stats.trending), rows(Q.TRENDING)),
         "stream_batch_artists": Query(

@@ -73,6 +73,24 @@ FROM (SELECT l_partkey AS id, 'part_' || l_partkey AS name, 'supplier_' || l_sup
       SELECT l_suppkey, 'part_' || l_suppkey, 'supplier_' || l_suppkey, l_quantity::INTEGER FROM lineitem) t
 JOIN part p ON p.p_partkey = t.id"""
 
+# The watermark: the earlier of the newest rows on both sides, less the delay. Items that still wait for features are not out.
+STREAM_FLATTEN = """
+WITH items AS (
+  SELECT l_partkey AS id, 'part_' || l_partkey AS name, 'supplier_' || l_suppkey AS artist, l_quantity::INTEGER AS popularity,
+         l_shipdate AS since
+  FROM lineitem WHERE l_returnflag <> 'R'
+  UNION ALL
+  SELECT l_suppkey, 'part_' || l_suppkey, 'supplier_' || l_suppkey, l_quantity::INTEGER, l_shipdate FROM lineitem),
+features AS (
+  SELECT l_partkey AS id, l_shipdate + to_hours((CASE WHEN l_partkey % 11 = 0 THEN 10 ELSE l_partkey % 7 END)::INTEGER) AS since,
+         (l_partkey * 7 % 101)::DOUBLE / 100 AS danceability, l_quantity / 50 AS energy, (60 + l_partkey % 140)::DOUBLE AS tempo
+  FROM lineitem WHERE l_linenumber <> 5),
+mark AS (SELECT least((SELECT max(since) FROM items), (SELECT max(since) FROM features)) - INTERVAL 1470 MINUTES AS w)
+SELECT strftime(i.since, '%Y-%m-%d %H:%M:%S') AS timestamp, name, artist, popularity, round(danceability, 9) AS danceability,
+       round(energy, 9) AS energy, round(tempo, 9) AS tempo
+FROM items i LEFT JOIN features f ON f.id = i.id AND f.since BETWEEN i.since AND i.since + INTERVAL 6 HOURS
+WHERE f.id IS NOT NULL OR i.since + INTERVAL 6 HOURS < (SELECT w FROM mark)"""
+
 # ---- sketches ----------------------------------------------------------------------------------------------------
 
 FM_ZEROS = f"""
@@ -380,6 +398,15 @@ REJECTS = """
 SELECT substr(props, 1, length(props) - 1) AS value, count(*) AS messages FROM events WHERE event_id % 3 = 0 GROUP BY 1
 UNION ALL SELECT 'decoded', count(*) FROM events WHERE event_id % 3 <> 0"""
 
+STREAM_REJECTS = """
+WITH messages AS (
+  SELECT event_id, event_id % 7 AS odd, event_id % 3 = 0 AS cut, regexp_extract(props, '([0-9]+)', 1)::BIGINT AS k FROM events),
+judged AS (
+  SELECT *, CASE WHEN odd = 1 THEN 'wrong type' WHEN odd = 2 THEN 'empty' WHEN odd = 3 THEN 'missing' WHEN cut THEN 'malformed'
+                 ELSE 'decoded' END AS reason FROM messages)
+SELECT reason, count(*) AS messages, sum(event_id)::BIGINT AS offsets, coalesce(sum(k) FILTER (reason = 'decoded'), 0)::BIGINT AS k
+FROM judged GROUP BY reason"""
+
 CANDIDATES = f"""
 met AS (
   SELECT DISTINCT a.l0, a.l1, a.l2, b.l0 AS m0, b.l1 AS m1, b.l2 AS m2

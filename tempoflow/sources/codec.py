@@ -30,6 +30,25 @@ def decode_with_rejects(messages: DataFrame, schema: StructType | None = None) -
     return good, rejects
 
 
+def judged(messages: DataFrame, schema: StructType | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``, the message as ``value``, its record as ``data``, and as ``reason`` why it is none, null for good ones.
+
+    Reasons: missing (null), empty, malformed (no JSON), wrong type (JSON whose fields do not fit the schema).
+    """
+    schema = schema or S.track_schema()
+    watched = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+    options = {**_JSON_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    text = F.col("value").cast("string")
+    parsed = messages.select(*keep, text.alias("value"), F.from_json(text, watched, options).alias("data"))
+    reason = (
+        F.when(F.col("value").isNull(), "missing")
+        .when(F.trim("value") == "", "empty")
+        .when(F.get_json_object("value", "$").isNull(), "malformed")
+        .when(F.col("data").isNull() | F.col(f"data.{_CORRUPT}").isNotNull(), "wrong type")
+    )
+    return parsed.withColumn("reason", reason).withColumn("data", F.col("data").dropFields(_CORRUPT))
+
+
 def encode(records: DataFrame, columns: tuple[str, ...] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One JSON message per record, ready for a topic or a text sink."""
     columns = columns or tuple(S.track_schema().fieldNames())

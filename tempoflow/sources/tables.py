@@ -86,7 +86,14 @@ def line_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested document per order line, as JSON text: the part's track, and an empty item if it was returned."""
+    return documents_from_lines(spread_if_narrow(table(spark, sf_dir, "lineitem")))
+
+
+def documents_from_lines(lines: DataFrame, *keep: Column) -> DataFrame:
+    """One nested document per order line, as JSON text: the part's track, and an empty item if it was returned.
+
+    Works on a batch frame and on a stream of order lines.
+    """
     def item(present, key):
         return F.struct(
             F.when(
@@ -105,8 +112,7 @@ def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     kept = F.col("l_returnflag") != F.lit("R")
     items = F.array(item(kept, F.col("l_partkey")), item(F.lit(True), F.col("l_suppkey")))
-    lines = spread_if_narrow(table(spark, sf_dir, "lineitem"))
-    return lines.select(F.to_json(F.struct(items.alias("items"))).alias("value"))
+    return lines.select(*keep, F.to_json(F.struct(items.alias("items"))).alias("value"))
 
 
 def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +125,19 @@ def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def measured_features(lines: DataFrame) -> DataFrame:
+    """A stream of audio features: measured anew for each order line some hours after it, never for every fifth line of an order."""
+    part = F.col("l_partkey")
+    hours = F.when(part % 11 == 0, F.lit(10)).otherwise(part % 7).cast("int")
+    return lines.where("l_linenumber <> 5").select(
+        part.cast("string").alias("id"),
+        (F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(F.lit(0), hours)).alias("measured_at"),
+        ((part * 7 % 101) / F.lit(100.0)).alias("danceability"),
+        (F.col("l_quantity") / F.lit(50.0)).alias("energy"),
+        (F.lit(60) + part % 140).cast("double").alias("tempo"),
+    )
+
+
 def flattened_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = codec.decode(playlist_documents(spark, sf_dir), S.PLAYLIST_SCHEMA)
     return codec.with_audio_features(codec.flatten_items(documents), audio_features(spark, sf_dir))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tempoflow import schema as S
 from tempoflow.functions import hashing as H
 from tempoflow.functions.scalars import above
 from tempoflow.operators import clustering, distinct, membership, privacy, sampling, similarity, stats
 from tempoflow.session import freed_checkpoints
+from tempoflow.sources import codec
 from tempoflow.sources.store import Generations, Store
 from tempoflow.streaming import epochs, keyed, similar, stateful
 from tempoflow.streaming.epochs import EpochTable
@@ -47,6 +51,48 @@ def dgim_state_job(stream: DataFrame, path: str, trigger: dict | None = None, **
     return update_job(keyed.dgim_states(stream, **options), ["group", "signal"], path, trigger)
 
 
+class Decoded(NamedTuple):
+    """The two outputs of a decoding stream; a reader sees the same epochs in both."""
+
+    store: Store
+
+    def records(self) -> DataFrame:
+        return self.store.read("records")
+
+    def rejects(self) -> DataFrame:
+        return self.store.read("rejects")
+
+
+def decode_handler(store: Store, schema: StructType | None = None, offset: str = "offset") -> epochs.Handler:
+    """Records and dead letters of each epoch in one commit: a replayed epoch adds to neither, a failed one to none."""
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        base = store.version()
+        if epoch <= base.epoch:
+            return
+        judged = codec.judged(batch, schema, (offset,)).persist()
+        try:
+            outputs = {
+                "records": judged.where("reason is null").select(offset, "data.*"),
+                "rejects": judged.where("reason is not null").select(offset, "value", "reason"),
+            }
+            parts = {name: Generations(store, name, lambda rows: rows).added(base, rows) for name, rows in outputs.items()}
+            store.commit(base, parts, {name: rows.schema for name, rows in outputs.items()}, epoch)
+        finally:
+            judged.unpersist()
+
+    return handle
+
+
+def decode_job(
+    messages: DataFrame, path: str, schema: StructType | None = None, offset: str = "offset", trigger: dict | None = None
+) -> tuple[StreamingQuery, Decoded]:
+    """Decode a stream of messages (``value`` and their offset); what is no record is kept with its offset and the reason."""
+    store = Store(messages.sparkSession, f"{path}/result")
+    handler = decode_handler(store, schema, offset)
+    return epochs.start(messages, handler, f"{path}/checkpoint", trigger=trigger), Decoded(store)
+
+
 def similarity_job(
     stream: DataFrame, path: str, threshold: float = 0.5, mode: str = H.FAST, trigger: dict | None = None
 ) -> tuple[StreamingQuery, similar.SongIndex]:
