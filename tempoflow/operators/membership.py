@@ -39,6 +39,23 @@ def build(
     )
 
 
+def count_positions(
+    members: DataFrame, item: str = "name", bits: int = S.BLOOM_BITS, hashes: int = S.BLOOM_HASHES, mode: str = H.FAST
+) -> DataFrame:
+    """Counters of a filter that can forget: ``position, n``, the sum of the members' ``n`` over their hashes.
+
+    ``members`` has one row per item, with 1 to put it in and -1 to take it out. Counters of several tables add up, as filters do.
+    """
+    hits = members.where(F.col(item).isNotNull()).select("n", F.explode(positions(F.col(item), bits, hashes, mode)).alias("position"))
+    return hits.groupBy("position").agg(F.sum("n").alias("n")).where("n <> 0").select("position", "n")
+
+
+def words_of(counters: DataFrame) -> DataFrame:
+    """The filter of the positions whose counter is above 0."""
+    set_bits = counters.where("n > 0").select(F.floor(F.col("position") / WORD_BITS).cast("bigint").alias("word_no"), "position")
+    return set_bits.groupBy("word_no").agg(F.bit_or(_bit("position")).alias("word"))
+
+
 def merge(*tables: DataFrame) -> DataFrame:
     """OR of filters that share their parameters."""
     both = reduce(lambda a, b: a.unionByName(b), tables)

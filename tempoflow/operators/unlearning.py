@@ -114,7 +114,11 @@ def audit_summary(requests: DataFrame) -> DataFrame:
 
 def status(df: DataFrame, requests: DataFrame, n: int = S.WINDOW_ARRIVALS) -> DataFrame:
     """The one-row status of the workflow."""
-    processed = drop_forgotten(df, requests).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return status_of(requests, drop_forgotten(df, requests).agg(F.count(F.lit(1)).alias("n")).scalar(), n)
+
+
+def status_of(requests: DataFrame, processed: Column, n: int = S.WINDOW_ARRIVALS) -> DataFrame:
+    """The status for a known number of processed rows."""
     valid = accepted(requests)
 
     def items(kind: str) -> Column:

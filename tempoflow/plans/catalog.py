@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from tempoflow import schema as S
 from tempoflow.functions import hashing as H
 from tempoflow.functions import scalars
-from tempoflow.operators import clustering, distinct, lastn, membership, privacy, sampling, similarity, stats, unlearning
+from tempoflow.operators import accounts, clustering, distinct, lastn, membership, privacy, sampling, similarity, stats, unlearning
 from tempoflow.plans import oracle as Q
 from tempoflow.plans import views as V
 from tempoflow.session import stage_path
 from tempoflow.sources import codec, readers, tables
 from tempoflow.sources.store import Store
 from tempoflow.streaming import epochs, jobs, joins, keyed, stateful
+from tempoflow.streaming.carried import Carried, Histories, Members, Releases
 from tempoflow.streaming.epochs import AVAILABLE_NOW, finish
 from tempoflow.streaming.similar import SongIndex
 
@@ -468,6 +469,39 @@ def _stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed(rounded(spark.read.schema(joined.schema).parquet(path), 9))
 
 
+def _carried(build: Callable[[Store, SparkSession, str], Carried], show: Callable[..., DataFrame]):
+    """Run what a stream carries over its epochs over the whole table and return what is left at the end."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = stage_path(spark, "stream")
+        carried = build(Store(spark, f"{path}/result"), spark, sf_dir)
+        finish(epochs.start(_track_stream(spark, sf_dir), carried.handler(), f"{path}/checkpoint", trigger=AVAILABLE_NOW))
+        return show(carried)
+
+    return run
+
+
+def _histories(store: Store, spark: SparkSession, sf_dir: str) -> Histories:
+    return Histories(store, lambda: V.forget_requests(spark, sf_dir))
+
+
+def _members(store: Store, spark: SparkSession, sf_dir: str) -> Members:
+    return Members(store, lambda: V.forget_requests(spark, sf_dir), mode=H.PORTABLE)
+
+
+def _release_check(releases: Releases) -> DataFrame:
+    """Whether all classes are large enough, and the rows that came out or wait."""
+    check, held = privacy.k_anonymity_check(releases.rows()), releases.held().agg(F.count(F.lit(1)).alias("n")).scalar()
+    return check.select(
+        (F.col("smallest_class") >= releases.k).alias("large_enough"), (held < releases.k).alias("few_held"), (F.col("rows_kept") + held).alias("rows_seen")
+    )
+
+
+def _day() -> Column:
+    """Days since the end of 2023: the steps of the running sums."""
+    return F.datediff(F.col("timestamp"), F.lit("2023-12-31")).cast("bigint")
+
+
 def _song_index(spark: SparkSession, sf_dir: str, every_row: bool = False) -> SongIndex:
     """The index of the songs of the stream, or of all its rows as songs of their own."""
     stream = _track_stream(spark, sf_dir)
@@ -595,6 +629,14 @@ def _stream_queries() -> dict[str, Query]:
             lambda s, d: _song_index(s, d, every_row=True).candidates(), rows(Q.LSH_CANDIDATES, Q.levels(), Q.banded())
         ),
         "stream_similar": Query(_stream_similar, rows(Q.SIMILAR_TO, Q.levels("name || '#' || seq || '-' || artist"), Q.banded(), Q.CANDIDATES)),
+        "stream_active": Query(_carried(_histories, lambda c: shown(c.active_tracks())), rows(Q.ACTIVE_TRACKS, Q.GONE)),
+        "stream_history": Query(_carried(_histories, lambda c: timed(c.track_history(), "last_seen")), rows(Q.KEPT_HISTORY, Q.GONE)),
+        "stream_status": Query(_carried(_histories, lambda c: c.status()), rows(Q.STATUS, Q.GONE)),
+        "bloom_forget": Query(_carried(_members, lambda c: c.words()), rows(Q.BLOOM_WORDS, Q.GONE, Q.bloom().replace("FROM tracks", "FROM kept"))),
+        "stream_anonymous": Query(_carried(lambda store, s, d: Releases(store, 7), _release_check), rows(Q.RELEASE_CHECK)),
+        "dp_running_stats": Query(
+            _on(tables.tracks, lambda df: rounded(accounts.dp_running_stats(df, _day(), 40, uniform=privacy.hashed_uniform(7)), 5)), rows(Q.DP_RUNNING)
+        ),
         "stream_json_rejects": Query(_stream_rejects, Q.STREAM_REJECTS),
         "stream_flatten": Query(_stream_flatten, Q.STREAM_FLATTEN),
         "stream_unlearn": Query(_stream_unlearn, rows(Q.UNLEARN_APPLY, Q.GONE)),

