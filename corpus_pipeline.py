@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempoflow.llm import crf, jaccard, packing, runlength
+from tempoflow.llm import crf, packing, runlength, simhash
 from tempoflow.llm.common import read, staged
 
 
@@ -17,8 +17,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id. Links are a Jaccard of 0.8 or more of five-word shingles."""
-    return jaccard.keep_first(docs)
+    """One document of each group stays: that with the smallest id. Links are fingerprints of three-word shingles at 3 or fewer differing bits.
+
+    Rows with a null id stay, an empty table gives no rows; see :func:`tempoflow.llm.simhash.keep_first`.
+    """
+    return simhash.keep_first(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +31,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All that is left in sequences of at most 1024 tokens; see :func:`tempoflow.llm.packing.pack`."""
     return packing.pack(docs)
 
 
