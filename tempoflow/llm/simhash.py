@@ -182,8 +182,14 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
     return prints.join(named, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, row_id: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """:func:`tempoflow.llm.jaccard.keep_first`, which confirms every link by the shingles themselves."""
-    from tempoflow.llm import jaccard
+def keep_first(docs: DataFrame, row_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """Rows of ``docs``, with all of their columns, whose id is the smallest of their component of :func:`near_duplicates`.
 
-    return jaccard.keep_first(docs, row_id, text, shingle)
+    Rows with a null id stay. Of rows that share an id and a text one stays, and of rows that share an id only each whose id is the
+    smallest of a component of that id. Null and empty texts are near copies of each other; texts may be of any length and
+    columns of any name; an empty table gives no rows.
+    """
+    found = near_duplicates(docs, row_id, text, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(row_id).cast("long").alias("id"), F.xxhash64(text).alias("h"))
+    first = rows.where("id is not null").join(found, "id").dropDuplicates(["id", "h"]).select("row.*")
+    return first.unionByName(docs.where(F.col(row_id).isNull()))
