@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 ENDLESS = sys.maxsize
 PAIRS = 1 << 20
-SEGMENTS = 300_000
+SEGMENTS = 700_000
 assert sys.byteorder == "little" and array("i").itemsize == 4
 
 
