@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,15 +18,33 @@ from tempoflow.llm.runlength import covered
 WINDOW = 35
 GRAM = 10
 OTHER_BASE = 0xC2B2AE3D27D4EB4F
-SPACE = np.isin(np.arange(256), (32, *range(9, 14)))
+REMEMBERED_WORDS = 200_000
+REMEMBERED_BYTES = 48
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """64 bits for each word between ASCII white space."""
-    line = np.frombuffer(text, np.uint8)
-    inside = np.concatenate(([False], ~SPACE[line], [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    return stretches(sums(line.astype(np.uint64) + np.uint64(1)), edges[::2], edges[1::2])
+class _Digests(dict):
+    """XXH3-128 of each word; short words are remembered, a bounded number of them at a time."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        digest = xxhash.xxh3_128_digest(word)
+        if len(word) <= REMEMBERED_BYTES:
+            if len(self) >= REMEMBERED_WORDS:
+                self.clear()
+            self[word] = digest
+        return digest
+
+
+_DIGESTS = _Digests()
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Two times 64 independent bits for each word between ASCII white space.
+
+    The sums over words are polynomials modulo 2^64, under which long sequences of few values can meet by design. Words are
+    therefore hashed one by one, and sums only ever reach over a few dozen of them.
+    """
+    both = np.frombuffer(b"".join(map(_DIGESTS.__getitem__, text.split())), np.uint64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 class Path:
@@ -36,13 +55,12 @@ class Path:
     """
 
     def __init__(self, text: bytes, window: int, gram: int):
-        words = word_hashes(text)
+        words, self.others = word_hashes(text)
         self.size = len(words)
         self.running = sums(words)
         hashes = windowed(self.running, gram)
         self.place, self.first, self.last = minimizers(hashes, window - gram + 1)
         self.node = hashes[self.place].view(np.int64)
-        self.words = words
         self.low = np.append(0, self.place[:-1]) if len(self.place) else self.place
         self.high = np.append(self.place[1:] + gram, self.size) if len(self.place) else self.place
 
@@ -120,7 +138,7 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
                 ranges.append((low, high))
         starts = np.flatnonzero(open_windows)
         one = windowed(path.running, window)[starts].view(np.int64)
-        two = windowed(sums(path.words, OTHER_BASE), window, OTHER_BASE)[starts].view(np.int64)
+        two = windowed(sums(path.others, OTHER_BASE), window, OTHER_BASE)[starts].view(np.int64)
         return ranges, starts, one, two
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
