@@ -172,6 +172,29 @@ class Cells:
             self.blocks.setdefault(group, {})[r.cell] = -(-r.size // block)
 
 
+def _pivots(distinct: DataFrame, block: int, pivots: int) -> list:
+    """At most ``pivots`` rows ``label, dim, embedding``: for each label above one block about one vector a block.
+
+    The largest labels come first and get their share of the budget. A hash of the node lets through about twice a label's share
+    before any shuffle, so no task ever holds a whole label.
+    """
+    sizes = distinct.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > block)
+    large = sizes.orderBy(F.desc("size"), "label", "dim").limit(pivots).collect()
+    wanted = [-(-r["size"] // block) for r in large]
+    scale = min(1.0, pivots / max(1, sum(wanted)))
+    shares = [max(1, int(w * scale)) for w in wanted]
+    while sum(shares) > pivots:
+        shares[shares.index(max(shares))] -= 1
+    if not shares:
+        return []
+    bounds = [(r.label, r.dim, share, (2 * share + 32) / r["size"]) for r, share in zip(large, shares, strict=True)]
+    limits = distinct.sparkSession.createDataFrame(bounds, "label long, dim int, share int, part double")
+    near = F.shiftrightunsigned(F.xxhash64("node"), 1) / F.lit(2.0**63)
+    some = distinct.join(F.broadcast(limits), ["label", "dim"]).where(near < F.col("part"))  # one row a label, at most ``pivots``
+    ranked = Window.partitionBy("label", "dim").orderBy(F.shiftrightunsigned(F.xxhash64("node"), 1), "node")
+    return some.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= F.col("share")).select("label", "dim", "embedding").collect()
+
+
 def links(distinct: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """``kind, a, b`` (see :func:`_unit`) over different vectors ``label, dim, node, n, embedding``.
 
@@ -180,13 +203,9 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK,
     sent there. No task holds more than two blocks, whatever a label's size.
     """
     spark = distinct.sparkSession
-    ranked = Window.partitionBy("label", "dim").orderBy(F.xxhash64("node"), "node")
-    sizes = distinct.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size"))
-    share = F.least(F.ceil(F.col("size") / block), F.lit(pivots))
-    wanted = distinct.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= pivots).join(sizes, ["label", "dim"])
-    chosen = wanted.where((F.col("place") <= share) & (F.col("size") > block)).orderBy("place", "label", "dim").limit(pivots).select("label", "dim", "embedding").collect()
+    distinct = distinct.withColumn("label", F.col("label").cast("long"))
     held: dict = {}
-    for r in chosen:
+    for r in _pivots(distinct, block, pivots):
         v = np.array(r.embedding, np.float64)
         held.setdefault((r.label, r.dim), []).append(v / math.sqrt(v @ v))
     cells = Cells({k: np.stack(v) for k, v in held.items()})
@@ -208,7 +227,7 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK,
             cut = pa.array([key in first.value.pivots for key in zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("dim"), pa.array(cell), pa.array(reach), cut], names=["label", "dim", "cell", "reach", "cut"])
 
-    placed = distinct.select("label", "dim", "embedding").mapInArrow(assign, "label int, dim int, cell long, reach double, cut boolean")
+    placed = distinct.select("label", "dim", "embedding").mapInArrow(assign, "label long, dim int, cell long, reach double, cut boolean")
     # groups without pivots have one cell; only the others are measured, at most one row per pivot
     known = placed.groupBy("label", "dim", "cell").agg(F.max("reach").alias("radius"), F.count(F.lit(1)).alias("size"), F.max("cut").alias("cut"))
     big = known.where((F.col("size") > block) | F.col("cut"))
@@ -252,7 +271,7 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK,
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = dict(distinct.dtypes)["embedding"]
-    schema = f"label int, dim int, c1 int, b1 int, c2 int, b2 int, node long, n long, side int, same boolean, embedding {kind}"
+    schema = f"label long, dim int, c1 int, b1 int, c2 int, b2 int, node long, n long, side int, same boolean, embedding {kind}"
     dealt = distinct.select("label", "dim", "node", "n", "embedding").mapInArrow(deal, schema)
     return dealt.groupBy("label", "dim", "c1", "b1", "c2", "b2").applyInArrow(_unit(threshold), OUT)
 
@@ -264,11 +283,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     non-finite component link with nothing, and so do vectors of different lengths. ``n_links`` counts rows, equal vectors included;
     those are one node with a count from the first grouping on and are never paired. ``component_id`` is the smallest id
     that links reach, ``kept`` says that it is the row's own. Rows with a null id take part and have a null ``kept``; of
-    repeated rows each is one more vector with that id; other columns are ignored, an empty table gives no rows.
+    repeated rows each is one more vector with that id; other columns are ignored, an empty table gives no rows. Labels that are not
+    integers are compared by 64 bits of their text.
     """
     keys = [F.xxhash64("label", "embedding").alias("v1"), F.xxhash64(F.lit(5), F.col("embedding"), F.col("label")).alias("v2")]
     valid = usable() & F.col("label").isNotNull()
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), "embedding")
+    whole = dict(vectors.dtypes)["label"] in ("tinyint", "smallint", "int", "bigint")
+    label = F.col("label").cast("long") if whole else F.when(F.col("label").isNotNull(), F.xxhash64(F.col("label").cast("string")))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), "embedding")
     grouped = rows.where(valid).select("*", *keys).groupBy("v1", "v2").agg(F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first_id"))
     distinct = staged(grouped.select("*", F.size("embedding").alias("dim"), F.monotonically_increasing_id().alias("node")), "vectors")
     found = staged(links(distinct, threshold, block, pivots), "links")

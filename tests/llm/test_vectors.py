@@ -76,6 +76,24 @@ def test_links_of_a_pivot_alone_in_its_cell(spark):
         assert weight == {k: int(n) for k, n in enumerate((cosine >= 0.98).sum(axis=1) - 1) if n}
 
 
+def test_pivots_are_shared_out_by_size(spark):
+    rows = [(0, i, [1.0, float(i)]) for i in range(3000)] + [(1, 5000 + i, [1.0, float(i)]) for i in range(300)] + [(2, 9000 + i, [1.0, 2.0]) for i in range(10)]
+    df = spark.createDataFrame(rows, "label long, node long, embedding array<float>").selectExpr("label", "2 dim", "node", "1l n", "embedding")
+    few = [r.label for r in covertree._pivots(df, block=100, pivots=11)]
+    assert 9 <= few.count(0) <= 10 and few.count(1) == 1 and 2 not in few
+    many = [r.label for r in covertree._pivots(df, block=100, pivots=500)]
+    assert (many.count(0), many.count(1), many.count(2)) == (30, 3, 0)
+    assert covertree._pivots(df, block=5000, pivots=11) == []
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_labels_of_other_types(spark, kind):
+    values = ["x", "y", None] if kind == "string" else [1 << 40, 2 << 40, None]
+    rows = [(i, [1.0, 0.01 * i], values[i % 3]) for i in range(9)]
+    got = covertree.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<float>, label {kind}")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (2, i % 3) if i % 3 < 2 else (0, i) for i in range(9)}
+
+
 def test_cover_tree_levels():
     x = np.random.default_rng(0).normal(size=(300, 5))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
