@@ -8,13 +8,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempoflow.operators.ranking import first_n
+
 TABLE_BITS = 17
 LEXICON_BITS = 17
 PER_LANGUAGE = 200
 SAMPLE_ROWS = 4000
+SAMPLE_BYTES = 64 << 20
 SPAN_WORDS = 25
 ROUNDS = 12
 WORDS_AT_ONCE = 1_000_000
@@ -254,18 +257,38 @@ def held_out(row_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(row_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, row_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``per_language`` whole texts of each language and ``rows`` in all, chosen by a hash of the id.
+def chosen(docs: DataFrame, row_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, rows: int = SAMPLE_ROWS, bytes_: int = SAMPLE_BYTES) -> list:
+    """Rows ``lang, h, t, size`` that stand for the texts to fit on, by a hash of the id, within ``rows`` and ``bytes_``.
+
+    Only keys are ranked, in two steps, so no task meets more of one language than the shares times ``per_language`` keys. Texts
+    above a sixteenth of the byte budget are not chosen; they are predicted like all others.
+    """
+    usable = docs.where(~held_out(row_id) & F.col(text).isNotNull() & F.col(lang).isNotNull())
+    keyed = usable.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(row_id).alias("h"), F.xxhash64(text).alias("t"), F.octet_length(text).cast("long").alias("size"))
+    ranked = first_n(keyed.where(F.col("size") <= bytes_ // 16), ["lang"], [F.col("h"), F.col("t")], per_language, "place")
+    out, held = [], 0
+    for r in ranked.orderBy("place", "lang").limit(rows).collect():
+        held += r["size"]
+        if held > bytes_:
+            break
+        out.append(r)
+    return out
+
+
+def train(docs: DataFrame, row_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, rows: int = SAMPLE_ROWS, bytes_: int = SAMPLE_BYTES) -> Model:
+    """Fit on at most ``per_language`` whole texts of each language, ``rows`` and ``bytes_`` in all; see :func:`chosen`.
 
     Only rows with an id, a text and a language that are not held out are used. The sample's size does not depend on that of the
     table; it is the only part of the corpus that the driver sees.
     """
-    usable = docs.where(~held_out(row_id) & F.col(text).isNotNull() & F.col(lang).isNotNull())
-    ordered = Window.partitionBy("lang").orderBy("h", "t")
-    keyed = usable.select(F.col(lang).alias("lang"), F.xxhash64(row_id).alias("h"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
-    ranked = keyed.withColumn("place", F.row_number().over(ordered)).where(F.col("place") <= per_language)
-    sample = ranked.orderBy("place", "lang").limit(rows).select("text", "lang").collect()
-    return fit([(r.text, r.lang) for r in sample])
+    keys = [(r.lang, r.h, r.t) for r in chosen(docs, row_id, text, lang, per_language, rows, bytes_)]
+    if not keys:
+        return fit([])
+    wanted = docs.sparkSession.createDataFrame(keys, "lang string, h long, t long").distinct()
+    named = docs.where(~held_out(row_id) & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(row_id).alias("h"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
+    found = named.join(F.broadcast(wanted), ["lang", "h", "t"])  # at most ``rows`` keys
+    texts = {(r.lang, r.h, r.t): r.text for r in found.groupBy("lang", "h", "t").agg(F.first("text").alias("text")).collect()}
+    return fit([(texts[k], k[0]) for k in keys])
 
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"

@@ -77,3 +77,18 @@ def test_a_low_score_alone_rejects_nothing(spark):
     assert all(f[0] != "und" and f[1] < 0.3 for f in found[:2])
     kept = crf.keep_identified(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1]
+
+
+def test_the_sample_is_bounded_by_rows_and_bytes(spark):
+    """A language that has nearly all rows, repeated rows, and one text of 50 MB; keys alone are ranked."""
+    rows = [(i, f"ka lo {i}", "a") for i in range(900)] + [(i, f"mi nu {i}", "b") for i in range(2000, 2030)]
+    rows += [(5, "ka lo 5", "a")] * 3 + [(4001 + k, "pe " * (50 << 20 if k == 3 else 1), "c") for k in range(12)]
+    docs = spark.createDataFrame([(i, t[: 50 << 20], n) for i, t, n in rows], "doc_id long, text string, lang string")
+    picked = crf.chosen(docs, per_language=20)
+    assert {n: sum(r.lang == n for r in picked) for n in "ab"} == {"a": 20, "b": 20}
+    assert all(r["size"] <= crf.SAMPLE_BYTES // 16 for r in picked)
+    assert sum(r["size"] for r in crf.chosen(docs, bytes_=400)) <= 400
+    assert len(crf.chosen(docs, rows=7)) == 7
+    model = crf.train(docs, per_language=20)
+    assert model.languages == ["a", "b", "c"]
+    assert [n for n, _ in crf.predict(model, ["ka lo 7", "mi nu 7"])] == ["a", "b"]
