@@ -168,6 +168,76 @@ def test_license_rules_have_their_keyword():
         assert label in licenses.scan_text(text)[5].split(","), label
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("under the Apache 2.0 license", "apache-2.0"),
+        ("GPL v3 license", "gpl-3.0"),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2.0,mit"),
+        ("SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) AND X", "classpath-exception-2.0,gpl-2.0"),
+        ("Apache License Version 2.0", "apache-2,apache-2.0"),
+        ("my driver license vim", ""),
+        ("the Vim license", "vim"),
+        ('license = "MIT AND BSD-3-Clause"', "bsd-3,mit"),
+        ("see https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa-4.0"),
+        ("License :: OSI Approved :: MIT License", "mit"),
+        ("CC BY 4.0 license", "cc-by-4.0"),
+        ("a mitten, a licensee and open fonts", ""),
+    ],
+)
+def test_license_lines(text, labels):
+    assert licenses.scan_text(text)[5] == labels
+
+
+def test_every_sentence_and_place_is_found():
+    for label, pattern, *_ in licenses.SENTENCES + licenses.PLACES:
+        assert licenses._keyword(pattern).isalnum()
+    for label, pattern, *_ in licenses.SENTENCES:
+        if pattern.replace(" ", "").isalnum():
+            spans = licenses.scan_text(f"before it {pattern} and after")[7]
+            assert any(s.startswith(f"{label}:") or int(s.split("-")[-1]) > 3 for s in spans), pattern
+    patterns = [r.pattern.pattern for r in licenses.rules()]
+    assert len(patterns) == len(set(patterns)) > 600
+
+
+def test_base_places_of_all_texts(docs, corpus):
+    import re
+
+    def recount(text):
+        words = re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        at = [(i, n) for p, n in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        places = [i for i, _ in at]
+        return len(words), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({n for _, n in at}))
+
+    got = sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan(docs).collect()), key=str)
+    assert got == sorted(((i, *recount(t)) for i, t in corpus), key=str)
+    for text in ("cc by nc cc by nc", "Apache License, Version 2 apache license version 20", "CC-BY-NC " * 50, "é under the MIT license", "under the mit licensex"):
+        assert licenses.scan_text(text)[:5] == recount(text)
+
+
+def test_license_suppression_against_all_pairs():
+    rng = np.random.default_rng(2)
+    strength = lambda h: (h[2], h[1] - h[0], h[3], [-ord(c) for c in h[4]])
+    for _ in range(60):
+        hits = []
+        for _ in range(int(rng.integers(0, 40))):
+            first = int(rng.integers(0, 12))
+            hits.append((first, first + int(rng.integers(1, 6)), int(rng.integers(0, 4)), float(rng.integers(1, 3)) / 2, "abc"[rng.integers(0, 3)]))
+        want = {h for h in hits if not any(strength(s) > strength(h) and s[0] <= h[0] and h[1] <= s[1] for s in hits)}
+        assert sorted(licenses.suppress(hits)) == sorted(want)
+
+
+def test_many_mentions_take_time_in_proportion():
+    import time
+
+    took = []
+    for n in (2_000, 20_000):
+        start = time.process_time()
+        assert len(licenses.scan_text("GPL v3 license here. MIT license here. " * n)[7]) == 2 * n
+        took.append(time.process_time() - start)
+    assert took[1] < 30 * took[0]
+
+
 def test_license_suppression_by_containment_and_priority():
     kept = licenses.suppress([(0, 5, 3, 0.9, "a"), (1, 3, 1, 0.5, "b"), (4, 7, 1, 0.5, "c"), (0, 5, 3, 0.9, "a"), (0, 6, 1, 0.5, "d")])
     assert sorted(k[4] for k in kept) == ["a", "c", "d"]
