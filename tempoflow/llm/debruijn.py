@@ -11,40 +11,32 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempoflow.llm.anchors import minimizers, stretches, sums, windowed
+from tempoflow.llm.anchors import BASE, minimizers, stretches, sums, windowed
 from tempoflow.llm.common import TEXT_KEY, back_to_rows, distinct_texts, staged
 from tempoflow.llm.runlength import covered
 
 WINDOW = 35
 GRAM = 10
 OTHER_BASE = 0xC2B2AE3D27D4EB4F
-REMEMBERED_WORDS = 200_000
-REMEMBERED_BYTES = 48
+LONG_WORD = 64
+SPACE = np.isin(np.arange(256), (32, *range(9, 14)))
 
 
-class _Digests(dict):
-    """XXH3-128 of each word; short words are remembered, a bounded number of them at a time."""
+def word_hashes(text: bytes, base: int = BASE) -> np.ndarray:
+    """64 bits for each word between ASCII white space, others for another base.
 
-    def __missing__(self, word: bytes) -> bytes:
-        digest = xxhash.xxh3_128_digest(word)
-        if len(word) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED_WORDS:
-                self.clear()
-            self[word] = digest
-        return digest
-
-
-_DIGESTS = _Digests()
-
-
-def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Two times 64 independent bits for each word between ASCII white space.
-
-    The sums over words are polynomials modulo 2^64, under which long sequences of few values can meet by design. Words are
-    therefore hashed one by one, and sums only ever reach over a few dozen of them.
+    Short words are hashed together by a polynomial modulo 2^64. Under any such polynomial long sequences of few values can meet by
+    design, so words above :data:`LONG_WORD` bytes are hashed one by one by XXH3-128, of which each base has its half.
     """
-    both = np.frombuffer(b"".join(map(_DIGESTS.__getitem__, text.split())), np.uint64).reshape(-1, 2)
-    return both[:, 0].copy(), both[:, 1].copy()
+    line = np.frombuffer(text, np.uint8)
+    inside = np.concatenate(([False], ~SPACE[line], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    out = stretches(sums(line.astype(np.uint64) + np.uint64(1), base), starts, ends, base)
+    half = 0 if base == BASE else 64
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        out[i] = (xxhash.xxh3_128_intdigest(text[starts[i] : ends[i]]) >> half) & ((1 << 64) - 1)
+    return out
 
 
 class Path:
@@ -55,7 +47,7 @@ class Path:
     """
 
     def __init__(self, text: bytes, window: int, gram: int):
-        words, self.others = word_hashes(text)
+        words = word_hashes(text)
         self.size = len(words)
         self.running = sums(words)
         hashes = windowed(self.running, gram)
@@ -138,7 +130,7 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
                 ranges.append((low, high))
         starts = np.flatnonzero(open_windows)
         one = windowed(path.running, window)[starts].view(np.int64)
-        two = windowed(sums(path.others, OTHER_BASE), window, OTHER_BASE)[starts].view(np.int64)
+        two = windowed(sums(word_hashes(text, OTHER_BASE), OTHER_BASE), window, OTHER_BASE)[starts].view(np.int64)
         return ranges, starts, one, two
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
