@@ -1,4 +1,4 @@
-"""SentencePiece encoding by streaming Viterbi, and decoding."""
+"""SentencePiece encoding by streaming Viterbi, and decoding: the ids of unigram models and of models of merges (BPE)."""
 
 from __future__ import annotations
 
@@ -12,13 +12,110 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tempoflow.llm.prefixbpe import Vocabulary
+
 BLANK = "▁"
 MEMORY = 300_000
+PAIRS = 1 << 19
 UNKNOWN_PENALTY = 10.0
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a serialised message."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(data):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+        else:
+            size = number() if key & 7 == 2 else 4 if key & 7 == 5 else 8
+            yield key >> 3, data[at : at + size]
+            at += size
+
+
+# fixed values of the model format: numbers of fields, kinds of models and of pieces
+PIECE, TRAINER, NORMALIZER = 1, 2, 3
+PIECE_TYPE, MODEL_TYPE, RULES, DUMMY_PREFIX, EXTRA_BLANKS, ESCAPE = 3, 3, 2, 3, 4, 5
+UNIGRAM, BPE = 1, 2
+USER_DEFINED, UNUSED = 4, 5
+
+
+class Merges(Vocabulary):
+    """Which pieces of a model of merges may stand side by side.
+
+    Every piece must come after two others that its own text is merged to, as training leaves it; then a piece is made at one time only.
+    Letters come before all merges, and merges in the order of falling scores, which must differ. Only runs of blanks may share a
+    score, the lowest one: equal scores go from left to right after all other merges (``runs`` has the pairs of lengths that stay apart).
+    """
+
+    def __init__(self, scores: dict[str, float]):
+        letters = sorted({letter for piece in scores for letter in piece})
+        merged = sorted((piece for piece in scores if len(piece) > 1), key=lambda piece: (-scores[piece], not piece.strip(BLANK)))
+        self.runs: set[tuple[int, int]] = set()
+        equal = {p for pair in zip(merged, merged[1:], strict=False) if scores[pair[0]] == scores[pair[1]] for p in pair}
+        if equal:
+            runs = {piece for piece in merged if not piece.strip(BLANK)}
+            if equal != runs or {*merged[-len(runs) :]} != runs or any(BLANK * 2 in piece for piece in merged[: -len(runs)]):
+                raise ValueError("merges of equal scores have no known order")
+            self.runs = _run_pairs({len(piece) for piece in runs})
+            del merged[-len(runs) :]
+        self.ranks = {piece: rank for rank, piece in enumerate([*letters, *merged])}
+        self.shift = len(self.ranks).bit_length()
+        self._merges, self._left, self._right = {}, {}, {}
+        for piece, rank in self.ranks.items():
+            for k in range(1, len(piece)):
+                left, right = self.ranks.get(piece[:k]), self.ranks.get(piece[k:])
+                if left is not None and right is not None:
+                    self._merges[left << self.shift | right] = rank
+        for piece, rank in self.ranks.items():
+            if len(piece) == 1:
+                self._left[rank] = self._right[rank] = (rank,)
+            elif halves := self._halves(piece, rank):
+                self._left[rank] = (*self._left[halves[0]], rank)
+                self._right[rank] = (*self._right[halves[1]], rank)
+            else:
+                raise ValueError(f"piece {piece!r} does not follow from those before it")
+
+
+def _run_pairs(lengths: set[int]) -> set[tuple[int, int]]:
+    """Neighbours in runs of blanks that are merged from left to right, as long as the sum of two neighbours is one of ``lengths``."""
+    longest, cut = max(lengths), {}
+    for size in range(1, 4 * longest + 1):
+        parts, k = [1] * size, 0
+        while k + 1 < len(parts):
+            if parts[k] + parts[k + 1] in lengths:
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+                k = max(k - 1, 0)
+            else:
+                k += 1
+        cut[size] = parts
+    pairs = {pair for parts in cut.values() for pair in zip(parts, parts[1:], strict=False)}
+    for size, parts in cut.items():
+        ends = [k for k in {1, *lengths} if k == size or (k < size and (cut[size - k][-1], k) in pairs)]
+        if ends != parts[-1:]:
+            raise ValueError("runs of blanks are not settled by pairs of pieces")
+    return pairs
+
+
 class Pieces:
-    """A model's pieces as a tree of characters, with scores, and the bytes that stand in for unknown characters."""
+    """A model's pieces as a tree of characters, with scores, and the bytes that stand in for unknown characters.
+
+    In a unigram model a path's score is the sum of those of its pieces. In a model of merges (BPE) scores are only the order in which
+    pieces are merged, and a path counts if the merges that make its pieces never join two of them (``fits``): 0 for
+    such a path, none for others, and each prefix has exactly one.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -29,28 +126,86 @@ class Pieces:
         self.byte_ids = [0] * 256
         self.tree: dict = {}
         self.longest = 1
-        lowest = 0.0
         self.control: set[int] = set()
+        scores: dict[int, float] = {}
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             self.text.append(piece)
             if model.is_byte(i):
                 self.bytes[i] = int(piece[3:5], 16)
                 self.byte_ids[self.bytes[i]] = i
-            elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
+            elif model.is_control(i) or model.is_unknown(i):
                 self.control.add(i)
             else:
-                node = self.tree
-                for letter in piece:
-                    node = node.setdefault(letter, {})
-                node[""] = (i, model.get_score(i))
-                self.longest = max(self.longest, len(piece))
-                lowest = min(lowest, model.get_score(i))
-        self.unknown = lowest - UNKNOWN_PENALTY
+                scores[i] = model.get_score(i)
+        kind = self._read(model)
+        if len(self.bytes) < 256:
+            raise ValueError("the model has no bytes for unknown characters")
+        self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+        self.merges = Merges({self.text[i]: score for i, score in scores.items()}) if kind == BPE else None
+        self.ranks: dict[int, int] = {}
+        self.runs: dict[int, int] = {}
+        if self.merges:
+            self._rank({i: self.text[i] for i in scores})
+            self.unknown, scores = 0.0, dict.fromkeys(scores, 0.0)
+        for i, score in scores.items():
+            self._grow(self.text[i], i, score)
+        self.pairs: dict[tuple[int, int], bool] = {}
+
+    def _rank(self, pieces: dict[int, str]) -> None:
+        """Ranks of pieces by their ids; runs of blanks of one score count as their single blanks towards other pieces."""
+        ranks = self.merges.ranks
+        for i, piece in pieces.items():
+            if self.merges.runs and not piece.strip(BLANK):
+                self.runs[i], self.ranks[i] = len(piece), ranks[BLANK]
+            else:
+                self.ranks[i] = ranks[piece]
+        for k, letter in enumerate(sorted({p for p in ranks if len(p) == 1} - {*pieces.values()}), 2):
+            self._grow(letter, -k, 0.0)  # it stands in longer pieces only; alone it is written as bytes
+            self.ranks[-k] = ranks[letter]
+
+    def _read(self, model) -> int:
+        """The kind of the model, and how it prepares texts."""
+        kind, rules = UNIGRAM, {RULES: b"", DUMMY_PREFIX: 1, EXTRA_BLANKS: 1, ESCAPE: 1}
+        for number, part in _fields(model.serialized_model_proto()):
+            if number == PIECE and any(n == PIECE_TYPE and v in (USER_DEFINED, UNUSED) for n, v in _fields(part)):
+                raise ValueError("user-defined and unused pieces are not known here")
+            if number == TRAINER:
+                kind = next((v for n, v in _fields(part) if n == MODEL_TYPE), UNIGRAM)
+            elif number == NORMALIZER:
+                rules |= {n: v for n, v in _fields(part) if n in rules}
+        if kind not in (UNIGRAM, BPE):
+            raise ValueError("only unigram models and models of merges are known here")
+        if not rules[ESCAPE]:
+            raise ValueError("the model does not mark blanks")
+        self.normalize = None if rules == {RULES: b"", DUMMY_PREFIX: 1, EXTRA_BLANKS: 0, ESCAPE: 1} else model.normalize
+        self.leading = bool(rules[DUMMY_PREFIX] or rules[EXTRA_BLANKS])  # decoding drops a blank at the start
+        return kind
+
+    def _grow(self, piece: str, i: int, score: float) -> None:
+        node = self.tree
+        for letter in piece:
+            node = node.setdefault(letter, {})
+        node[""] = (i, score)
+        self.longest = max(self.longest, len(piece))
+
+    def fits(self, before: int, piece: int) -> bool:
+        """Whether ``piece`` may follow ``before``; -1 is the start of the text or a character that is in no piece."""
+        if before == -1:
+            return True
+        known = self.pairs.get((before, piece))
+        if known is None:
+            if before in self.runs and piece in self.runs:
+                known = (self.runs[before], self.runs[piece]) in self.merges.runs
+            else:
+                known = self.merges._separate(self.ranks[before], self.ranks[piece])
+            if len(self.pairs) < PAIRS:
+                self.pairs[before, piece] = known
+        return known
 
 
 class Stream:
-    """Ids of the segmentation with the largest sum of scores, given out while the text comes in.
+    """Ids of the segmentation with the best score, given out while the text comes in.
 
     Scores are kept for a window of the model's longest piece only. A boundary that no piece reaches over is on every path, and
     its ids are final; failing that, the backpointers of all places that a later piece can still start from are followed down, and
@@ -61,7 +216,7 @@ class Stream:
         self.pieces = pieces
         self.text = ""  # from the last final boundary on
         self.best: list[float] = [0.0]
-        self.back: list[tuple[int, tuple[int, ...]]] = [(0, ())]
+        self.back: list[tuple[int, int]] = [(0, -1)]  # start and last piece; that of place 0 is the last one given out
         self.done = 0  # starts worked off
         self.reach = 0
         self.cut = 0  # the last boundary that no piece reaches over
@@ -74,19 +229,21 @@ class Stream:
         best, back = self.best, self.back
         while len(best) <= size:
             best.append(float("-inf"))
-            back.append((0, ()))
+            back.append((0, -1))
+        fits = self.pieces.fits if self.pieces.merges else None
         stop = size if last else size - longest
         at, reach = self.done, self.reach
         while at < stop:
-            score, node, end, plain = best[at], tree, at, False
+            score, before, node, end, plain = best[at], back[at][1], tree, at, False
             while end < size and (node := node.get(text[end])) is not None:
                 end += 1
                 if (found := node.get("")) is not None:
-                    if (total := score + found[1]) >= best[end]:
-                        if total > best[end] or at < back[end][0]:
-                            best[end], back[end] = total, (at, found[0])
-                    reach = max(reach, end)
                     plain = plain or end == at + 1
+                    if fits and not fits(before, found[0]):
+                        continue
+                    if (total := score + found[1]) > best[end]:
+                        best[end], back[end] = total, (at, found[0])
+                    reach = max(reach, end)
             if not plain and (total := score + self.pieces.unknown) > best[at + 1]:
                 best[at + 1], back[at + 1] = total, (at, -1)
                 reach = max(reach, at + 1)
@@ -112,7 +269,7 @@ class Stream:
         self.text = self.text[end:]
         base = self.best[end]
         self.best = [b - base for b in self.best[end:]]
-        self.back = [(max(0, s - end), p) for s, p in self.back[end:]]
+        self.back = [(max(0, s - end), p) for s, p in self.back[end:]]  # place 0 keeps its piece, which the next one must fit
         self.done, self.reach, self.cut = self.done - end, self.reach - end, 0
         return ids
 
@@ -191,12 +348,12 @@ class Coder:
         """Little-endian unsigned 32-bit ids; blanks become the model's mark, with one before the text."""
         if not text:
             return b""
-        line = BLANK + text.replace(" ", BLANK)
+        line = BLANK + text.replace(" ", BLANK) if self.pieces.normalize is None else self.pieces.normalize(text)
         if not self.splits:
             return self._segment(line)
         parts = line.split(BLANK)
         found = list(map(self.known.get, parts))
-        found[0] = b"" if not parts[0] else None
+        found[0] = self._segment(parts[0])
         at = 1
         try:
             while True:
@@ -227,7 +384,7 @@ class Coder:
                 out.append(p.text[i])
         out.append(held.decode("utf-8", "replace"))
         text = "".join(out).replace(BLANK, " ")
-        return text[1:] if text.startswith(" ") else text
+        return text[1:] if p.leading and text.startswith(" ") else text
 
 
 @cache
@@ -236,7 +393,7 @@ def coder(path: str) -> Coder:
 
 
 def encode(docs: DataFrame, model: str | None = None, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, ids`` of every text: the pieces of the model with the largest sum of scores, unknown characters as bytes.
+    """``doc_id, ids`` of every text: those that the model's own library gives, unknown characters as bytes.
 
     Null texts have null ids and empty ones none. A text that holds the model's own mark for blanks gets it back as a blank, as in the model itself.
     Texts are read whole, null ids kept, repeated rows repeated, other columns ignored; an empty table gives no rows. ``model`` is a

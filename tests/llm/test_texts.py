@@ -281,48 +281,6 @@ def test_byte_bpe_equals_the_library(text):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
-def full_viterbi(pieces, line):
-    best, back = [0.0] + [float("-inf")] * len(line), [None] * (len(line) + 1)
-    table = {p: i for i, p in enumerate(pieces.text) if i not in pieces.control and i not in pieces.bytes}
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    for e in range(1, len(line) + 1):
-        for s in range(max(0, e - pieces.longest), e):
-            i = table.get(line[s:e], -1 if e - s == 1 else None)
-            if i is not None:
-                total = best[s] + (model.get_score(i) if i >= 0 else pieces.unknown)
-                if total > best[e]:
-                    best[e], back[e] = total, (s, i)
-    out, e = [], len(line)
-    while e:
-        s, i = back[e]
-        out = ([i] if i >= 0 else [pieces.byte_ids[b] for b in line[s:e].encode()]) + out
-        e = s
-    return out
-
-
-@pytest.mark.parametrize("text", ["", "a", " a  b   ", "  ", "日本語🙂x", "aaaa" * 90, "The of\nand\tthe <s>", "and the other " * 9, "x" * 70 + "é 日" * 9])
-def test_viterbi_equals_the_full_table_and_decodes(text):
-    coder = viterbi.coder(public_tokenizers.path("piece_bpe_32k.model"))
-    line = viterbi.BLANK + text.replace(" ", viterbi.BLANK)
-    want = full_viterbi(coder.pieces, line) if text else []
-    assert np.frombuffer(coder.encode(text), "<u4").tolist() == want
-    assert coder.decode(want) == text
-    stream, got = viterbi.Stream(coder.pieces), []
-    if text:
-        for k in range(0, len(line), 3):
-            got += stream.feed(line[k : k + 3])
-        if len(set(text)) > 1:  # paths over one letter need not meet
-            assert len(stream.text) < 12 * coder.pieces.longest
-        assert got + stream.finish() == want
-
-
-def test_encode_decodes_to_every_text(docs, corpus):
-    got = rows(viterbi.decoded(viterbi.encode(docs)), "doc_id", "text_sha256")
-    assert got == sorted(((i, None if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, t in corpus), key=str)
-
-
 def test_matching_statistics_of_every_byte():
     rng = np.random.default_rng(0)
     for _ in range(6):
