@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
+from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from tempoflow.llm.prefixbpe import Vocabulary
 
 BLANK = "▁"
-MEMORY = 300_000
+MEMORY = 600_000
 PAIRS = 1 << 19
 UNKNOWN_PENALTY = 10.0
 
@@ -227,10 +229,10 @@ class Stream:
         tree, longest, text = self.pieces.tree, self.pieces.longest, self.text
         size = len(text)
         best, back = self.best, self.back
-        while len(best) <= size:
-            best.append(float("-inf"))
-            back.append((0, -1))
-        fits = self.pieces.fits if self.pieces.merges else None
+        more = size + 1 - len(best)
+        best += [float("-inf")] * more
+        back += [(0, -1)] * more
+        fits, known = self.pieces.fits if self.pieces.merges else None, self.pieces.pairs.get
         stop = size if last else size - longest
         at, reach = self.done, self.reach
         while at < stop:
@@ -239,8 +241,12 @@ class Stream:
                 end += 1
                 if (found := node.get("")) is not None:
                     plain = plain or end == at + 1
-                    if fits and not fits(before, found[0]):
-                        continue
+                    if fits:
+                        if best[end] == 0.0:  # each prefix has one path, and here it is
+                            continue
+                        fit = known((before, found[0]))
+                        if not (fits(before, found[0]) if fit is None else fit):
+                            continue
                     if (total := score + found[1]) > best[end]:
                         best[end], back[end] = total, (at, found[0])
                     reach = max(reach, end)
@@ -314,6 +320,7 @@ class Coder:
         self.known: dict[str, bytes] = {}  # after a blank
         self.inner: dict[str, bytes] = {}  # after a boundary inside of a word
         self.memory = memory
+        self.special = np.array([i in self.pieces.bytes or i in self.pieces.control for i in range(len(self.pieces.text))])
 
     def _segment(self, text: str) -> bytes:
         stream = Stream(self.pieces)
@@ -337,12 +344,15 @@ class Coder:
 
     def _part(self, part: str) -> bytes:
         """What stands between two blanks, cut between letters that no piece has side by side: every path passes there."""
-        cuts = [k for k in range(1, len(part)) if part[k - 1 : k + 1] not in self.pairs]
+        cuts = [k for k, pair in enumerate(map(add, part, part[1:]), 1) if pair not in self.pairs]
         if not cuts:
             return self._remembered(self.known, BLANK, part)
         out = [self._remembered(self.known, BLANK, part[: cuts[0]])]
         out += [self._remembered(self.inner, "", part[a:b]) for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True)]
-        return b"".join(out)
+        ids = b"".join(out)
+        if len(self.known) < self.memory and len(part) < 40:
+            self.known[part] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids; blanks become the model's mark, with one before the text."""
@@ -371,18 +381,20 @@ class Coder:
         except ValueError:
             return b"".join(found)
 
-    def decode(self, ids: Iterable[int]) -> str:
-        out, held, p = [], bytearray(), self.pieces
-        for i in ids:
+    def decode(self, ids: Sequence[int] | np.ndarray) -> str:
+        p, values = self.pieces, np.asarray(ids, np.int64)
+        out, held, done = [], bytearray(), 0
+        for at in np.flatnonzero(self.special[values]).tolist():  # pieces between these stand for themselves
+            if at > done:
+                out += [held.decode("utf-8", "replace"), *map(p.text.__getitem__, values[done:at].tolist())]
+                held.clear()
+            done, i = at + 1, int(values[at])
             if i in p.bytes:
                 held.append(p.bytes[i])
-                continue
-            if held:
+            else:
                 out.append(held.decode("utf-8", "replace"))
                 held.clear()
-            if i not in p.control:
-                out.append(p.text[i])
-        out.append(held.decode("utf-8", "replace"))
+        out += [held.decode("utf-8", "replace"), *map(p.text.__getitem__, values[done:].tolist())]
         text = "".join(out).replace(BLANK, " ")
         return text[1:] if p.leading and text.startswith(" ") else text
 
@@ -443,7 +455,7 @@ def decoded(encoded: DataFrame, model: str | None = None) -> DataFrame:
                     values = ids.values.to_numpy()
                     out[0].append(len(values))
                     out[1].append(zlib.crc32(values.astype("<u4").tobytes()))
-                    out[2].append(hashlib.sha256(own.decode(values.tolist()).encode("utf-8", "surrogatepass")).hexdigest())
+                    out[2].append(hashlib.sha256(own.decode(values).encode("utf-8", "surrogatepass")).hexdigest())
                 kinds = (pa.int64(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(o, k) for o, k in zip(out, kinds, strict=True))], names=["doc_id", "n_ids", "ids_crc32", "text_sha256"])
 
