@@ -17,8 +17,8 @@ from tempoflow.plans import views as V
 from tempoflow.session import stage_path
 from tempoflow.sources import codec, readers, tables
 from tempoflow.sources.store import Store
-from tempoflow.streaming import epochs, jobs, joins, keyed, stateful
-from tempoflow.streaming.carried import Carried, Histories, Members, Releases
+from tempoflow.streaming import epochs, jobs, keyed, stateful
+from tempoflow.streaming.carried import Carried, Featured, Histories, Members, Releases
 from tempoflow.streaming.epochs import AVAILABLE_NOW, finish
 from tempoflow.streaming.similar import SongIndex
 
@@ -463,10 +463,11 @@ def _stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lambda: readers.stream_table(spark, sf_dir, "lineitem")
     documents = tables.documents_from_lines(lines(), F.col("l_shipdate").cast("timestamp").alias("timestamp"))
     items = codec.flatten_items(codec.decode(documents, S.PLAYLIST_SCHEMA, keep=("timestamp",)), keep=("timestamp",))
-    joined = joins.with_features(items, tables.measured_features(lines()), wait="6 hours", delay="24 hours 30 minutes")
-    query, path = jobs.append_job(joined, stage_path(spark, "stream"), AVAILABLE_NOW)
-    finish(query)
-    return timed(rounded(spark.read.schema(joined.schema).parquet(path), 9))
+    path = stage_path(spark, "stream")
+    featured = Featured(Store(spark, f"{path}/result"), wait="6 hours", delay="24 hours 30 minutes")
+    stream = featured.sides(items, tables.measured_features(lines()))
+    finish(epochs.start(stream, featured.handler(), f"{path}/checkpoint", trigger=AVAILABLE_NOW))
+    return timed(rounded(featured.rows(), 9))
 
 
 def _carried(build: Callable[[Store, SparkSession, str], Carried], show: Callable[..., DataFrame]):

@@ -1,4 +1,4 @@
-"""What streams carry from epoch to epoch beside aggregates: histories, releases and members that can be forgotten.
+"""What streams carry from epoch to epoch beside aggregates: histories, releases, members that can be forgotten, rows that wait for others.
 
 Each class keeps its tables in one store and adds an epoch in one commit; an epoch that comes again is not added again.
 """
@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempoflow import schema as S
@@ -17,6 +17,7 @@ from tempoflow.operators import accounts, membership, privacy, stats, unlearning
 from tempoflow.operators.ranking import global_rank, last_n_overall
 from tempoflow.session import broadcast_if_small, checkpointed, freed_checkpoints, splittable
 from tempoflow.sources.store import Generations, Part, Store, Version, summed
+from tempoflow.streaming import joins
 from tempoflow.streaming.epochs import Handler
 
 Requests = Callable[[], DataFrame]
@@ -221,3 +222,70 @@ class PrivateTotals(Carried):
 
     def releases(self) -> DataFrame:
         return self.released.read()
+
+
+class Featured(Carried):
+    """Items of a stream with the audio features of another, as :func:`joins.with_features` joins them, with rows that wait kept in tables.
+
+    An epoch joins its rows, and those that still wait, as frames: memory is that of a shuffle join, which spills, however many rows an
+    epoch has. The watermark is the earlier of the newest times on both sides, less ``delay``, and there is none until both have come. What an
+    epoch brings from before the last watermark is late and dropped; items no features can come for any more go with nulls.
+    Only items within ``wait`` of the watermark and features after it are kept.
+    """
+
+    def __init__(self, store: Store, wait: str = "10 minutes", delay: str = "1 hour"):
+        super().__init__(store)
+        self.wait, self.delay = wait, delay
+        self.joined = Generations(store, "joined", lambda rows: rows)
+
+    @staticmethod
+    def sides(items: DataFrame, features: DataFrame) -> DataFrame:
+        """Both streams as the one that :meth:`handler` takes."""
+        none = lambda df, name: F.lit(None).cast(df.schema).alias(name)
+        left = items.select(F.struct("*").alias("item"), none(features, "feature"))
+        return left.unionByName(features.select(none(items, "item"), F.struct("*").alias("feature")))
+
+    def _watermark(self, newest: tuple[int | None, int | None]) -> Column | None:
+        return None if None in newest else F.timestamp_micros(F.lit(min(newest))) - F.expr(f"INTERVAL {self.delay}")
+
+    def _step(self, base, batch):
+        seen = tuple(self.store.read("newest", base).first()) if "newest" in base.schemas else (None, None)
+        came = batch.agg(F.max(F.unix_micros("item.timestamp")), F.max(F.unix_micros("feature.measured_at"))).first()
+        newest = tuple(max((t for t in side if t is not None), default=None) for side in zip(seen, came, strict=True))
+        late, mark = self._watermark(seen), self._watermark(newest)
+
+        def side(name: str, time: str, new: dict[str, Column], held: dict[str, Column]) -> DataFrame:
+            rows = batch.where(F.col(name).isNotNull()).select(f"{name}.*")
+            rows = rows if late is None else rows.where(F.col(time) >= late)
+            rows = rows.withColumns(new)
+            return rows.unionByName(self.store.read(f"{name}s", base).withColumns(held)) if f"{name}s" in base.schemas else rows
+
+        items = side("item", "timestamp", {"_met": F.lit(False), "_waited": F.lit(False)}, {"_waited": F.lit(True)})
+        features = side("feature", "measured_at", {"_known": F.lit(False)}, {"_known": F.lit(True)})
+        over = lambda time: F.lit(False) if mark is None else F.col(time) + F.expr(f"INTERVAL {self.wait}") < mark
+        found = joins.with_features(items, features, self.wait, self.delay)
+        # a pair comes out in the epoch of its later side, an item without any once its wait is over
+        out = found.where(F.when(F.col("_known").isNull(), over("timestamp") & ~F.col("_met")).otherwise(~(F.col("_waited") & F.col("_known"))))
+        out = out.drop("_met", "_waited", "_known")
+        kept = features.drop("_known").where(F.col("measured_at").isNotNull() if mark is None else F.col("measured_at") >= mark)
+        # no waiting item is before these features' times
+        held = self._held(items.drop("_waited").where("timestamp is not null").where(~over("timestamp")), features.where(~over("measured_at")))
+        times = self.store.spark.range(1).select(*[F.lit(t).cast("bigint").alias(n) for n, t in zip(("items", "features"), newest, strict=True)])
+        return {
+            "joined": (self.joined.added(base, out), out),
+            "items": ([self.store.write(held)], held),
+            "features": ([self.store.write(kept)], kept),
+            "newest": ([self.store.write(times)], times),
+        }
+
+    def _held(self, items: DataFrame, features: DataFrame) -> DataFrame:
+        """Waiting items, and whether they have met features."""
+        times = features.select("id", "measured_at", F.lit(True).alias("_now")).distinct()
+        keys = items.select("track_id", "timestamp").distinct()
+        met = joins.with_features(keys.withColumn("_track", F.col("track_id")), times, self.wait, self.delay).where("_now")
+        met = met.select(F.col("_track").alias("track_id"), "timestamp", "_now").distinct()
+        joined = items.join(met, ["track_id", "timestamp"], "left").withColumn("_met", F.col("_met") | F.coalesce("_now", F.lit(False)))
+        return joined.select(*items.columns)
+
+    def rows(self) -> DataFrame:
+        return self.joined.read()
