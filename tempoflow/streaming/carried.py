@@ -267,9 +267,10 @@ class Featured(Carried):
         # a pair comes out in the epoch of its later side, an item without any once its wait is over
         out = found.where(F.when(F.col("_known").isNull(), over("timestamp") & ~F.col("_met")).otherwise(~(F.col("_waited") & F.col("_known"))))
         out = out.drop("_met", "_waited", "_known")
-        kept = features.drop("_known").where(F.col("measured_at").isNotNull() if mark is None else F.col("measured_at") >= mark)
         # no waiting item is before these features' times
-        held = self._held(items.drop("_waited").where("timestamp is not null").where(~over("timestamp")), features.where(~over("measured_at")))
+        recent = checkpointed(features.drop("_known").where("measured_at is not null").where(~over("measured_at")))
+        held = self._held(checkpointed(items.drop("_waited").where("timestamp is not null").where(~over("timestamp"))), recent)
+        kept = recent if mark is None else recent.where(F.col("measured_at") >= mark)
         times = self.store.spark.range(1).select(*[F.lit(t).cast("bigint").alias(n) for n, t in zip(("items", "features"), newest, strict=True)])
         return {
             "joined": (self.joined.added(base, out), out),

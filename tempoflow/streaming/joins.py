@@ -30,10 +30,14 @@ def with_features(items: DataFrame, features: DataFrame, wait: str = "10 minutes
     reached = F.sequence(stretch(measured - 2 * span(wait)), stretch(measured))
     left = items.withWatermark("timestamp", delay).withColumn("_stretch", stretch(F.unix_micros("timestamp")))
     right = features.withColumnRenamed("id", "_id").withWatermark("measured_at", delay).withColumn("_reached", F.explode(reached))
+    # a number that tells keys apart comes first: sorting by it seldom compares texts
+    left = left.withColumn("_key", F.xxhash64("track_id", "_stretch"))
+    right = right.withColumn("_other", F.xxhash64("_id", "_reached"))
     meets = (
-        (F.col("track_id") == F.col("_id"))
+        (F.col("_key") == F.col("_other"))
+        & (F.col("track_id") == F.col("_id"))
         & (F.col("_stretch") == F.col("_reached"))
         & (F.col("measured_at") >= F.col("timestamp"))
         & (F.col("measured_at") <= F.col("timestamp") + F.expr(f"INTERVAL {wait}"))
     )
-    return left.join(right, meets, "leftOuter").drop("track_id", "_id", "measured_at", "_stretch", "_reached")
+    return left.join(right, meets, "leftOuter").drop("track_id", "_id", "measured_at", "_stretch", "_reached", "_key", "_other")
